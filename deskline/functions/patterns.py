@@ -5,14 +5,21 @@ Texts are judged by Python's rules (Unicode whitespace, digits and words; only
 on Java's shorthands:
 
 * ``S`` whitespace, ``N`` its complement, ``B`` whitespace other than newline;
-* ``D`` decimal digit, ``W`` word character, with ``LEFT``/``RIGHT`` as word edges;
+* ``D`` decimal digit, ``W`` word character, ``X`` its complement, ``LEFT`` and
+  ``RIGHT`` word edges;
 * ``[^\\n]*`` for the rest of a line, ``\\z`` for the end of the text.
 
-Every quantifier that can never usefully give back what it took is possessive,
-and runs of whitespace are entered only once (``LINE_START``), so the cost of a
-text grows with its length and not with its square, whatever the text holds.
+The patterns are shaped for the cost of long texts, which has to grow with the
+length and not with its square, whatever the text holds:
+
+* a quantifier that can never usefully give back what it took is possessive;
+* a match starts with a test of its first character, before any lookbehind;
+* patterns on whole lines or words walk over the text once, from the end of the
+  last match (``\\G``), and take what they skip as group 1, to be put back.
 """
 
+import string
+
 # A character above U+FFFF inside a lookbehind makes Java step back by code point.
 _HIGH_LETTER = "\U00010000"
 _HIGH_DIGIT = "\U0001d7ce"
@@ -22,6 +29,7 @@ N = r"[^\s\x1c-\x1f]"
 B = r"[\s\x1c-\x1f&&[^\n]]"
 D = r"\p{Nd}"
 W = r"[\p{L}\p{N}_]"
+X = r"[^\p{L}\p{N}_]"
 LEFT = rf"(?<![\p{{L}}\p{{N}}_{_HIGH_LETTER}])"
 RIGHT = rf"(?!{W})"
 
@@ -36,16 +44,40 @@ WHITESPACE = (
     "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Where a line's leading whitespace begins. Blank lines above belong to it, but
-# the newline that ends the last non-blank line does not: it is group 1 and has
-# to be put back. ``\G`` covers a match that starts where the last one ended.
-LINE_START = rf"(\A|(?:\G|(?<!{S})){B}*+\n|(?<=\n)\G){S}*+"
+
+def _at_line(start: str) -> str:
+    """``start`` at the beginning of a line, after any blank lines and indentation.
+    Group 1 is the lines before. A line's leading whitespace is read once, together
+    with the blank lines above it."""
+    lines = rf"(?:(?!{S}*+{start}){S}*+[^\n]*+\n)*+"
+    return rf"\G((?>(?<![^\n])|[^\n]*+\n){lines}){S}*+{start}"
+
+
+def _at_word(start: str) -> str:
+    """``start`` at the beginning of a word. Group 1 is the words before."""
+    return rf"\G({X}*+(?:(?!{start}){W}++{X}*+)*+){start}"
+
+
+# Letters that fold with others than their two ASCII forms.
+_FOLDS = {"i": r"Ii\u0130\u0131", "k": r"Kk\u212a", "s": r"Ss\u017f"}
+
+
+def _letter(letter: str) -> str:
+    """A letter in any case, as one cheap test."""
+    letter = letter.lower()
+    return f"(?-i:[{_FOLDS.get(letter, letter.upper() + letter)}])"
 
 
 def _words(*phrases: str) -> str:
     """Alternation of phrases; a space stands for one or more whitespace
     characters, ``~`` for none or more."""
-    return "|".join(p.replace(" ", f"{S}++").replace("~", f"{S}*+") for p in phrases)
+    spelled = (p.replace(" ", f"{S}++").replace("~", f"{S}*+") for p in phrases)
+    return "|".join(_letter(p[0]) + p[1:] for p in spelled)
+
+
+def _one_of(letters: str) -> str:
+    """Looks ahead for any of some letters, in any case."""
+    return "(?-i:(?=[" + "".join(_FOLDS.get(c, c.upper() + c) for c in letters) + "]))"
 
 
 # ---------------------------------------------------------------------------
@@ -55,10 +87,16 @@ def _words(*phrases: str) -> str:
 HAS_TEXT = TEXT + N
 WORD = TEXT + N + "++"
 WORD_GAP = TEXT + S + "++"
+
+
+def more_words_than(limit: int) -> str:
+    return TEXT + rf"\A{S}*+(?:{N}++{S}++){{{limit}}}+{N}"
+
+
 ZERO_WIDTH = r"[\u200b-\u200d\ufeff]++"
 NEWLINES = r"\n{3,}+"
 SPACES = r"[ \t]{2,}+"
-URL = ANYCASE + rf"(?:https?://|www\.){N}++"
+URL = ANYCASE + rf"{_one_of('hw')}(?:{_letter('h')}ttps?://|{_letter('w')}ww\.){N}++"
 
 # Text that normalization form C may change: marks, Hangul jamo, characters with
 # a canonical decomposition that never comes back, and code points newer than
@@ -105,10 +143,11 @@ REPLY_HEADER = ANYCASE_LINES + rf"^On{S}[^\n]{{5,100}}(?:wrote|said){S}*+:[^\n]*
 HEADER_LINE = ANYCASE_LINES + (
     rf"^(?:From|To|Cc|Bcc|Subject|Date|Sent|Reply-To|Message-ID){S}*+:[^\n]*+"
 )
-QUOTED_LINE = LINES + LINE_START + r">[^\n]*+"
+QUOTED_LINE = TEXT + _at_line(">") + r"[^\n]*+"
 
 FROM_DISCLAIMER = ANYCASE + (
-    "(?:"
+    _one_of("cdlti")
+    + "(?:"
     + _words(
         "CONFIDENTIALITY NOTICE",
         "DISCLAIMER",
@@ -139,19 +178,28 @@ FROM_CLOSING = ANYCASE + (
     + rf")[,.]?+{B}*+\n[\s\S]*+"
 )
 
-_LOCAL = r"[A-Za-z0-9._%+\-]"
+# Spelled out, since a class of ranges is a chain of tests in Java.
+_LOCAL_CHARS = string.ascii_letters + string.digits + r"._%+\-"
+_LOCAL = f"[{_LOCAL_CHARS}]"
 _EDGE = rf"(?:(?<=[\p{{L}}\p{{N}}_{_HIGH_LETTER}])(?!{W})|{LEFT}(?={W}))"
 _DOMAIN = rf"[A-Za-z0-9.\-]+\.[A-Za-z]{{2,}}{RIGHT}"
-# Group 1 is what the run of address characters holds before its first word
-# edge; the run is tried once, from that edge.
-EMAIL_ADDRESS = TEXT + rf"(?:\G|(?<!{_LOCAL}))(?>({_LOCAL}*?){_EDGE}){_LOCAL}++@{_DOMAIN}"
+# An address starts at the first word edge of its run of address characters; no
+# later edge of that run can do better, so a run is tried once.
+_TO_ADDRESS = rf"(?>{_LOCAL}*?{_EDGE})"
+_ADDRESS = rf"{_LOCAL}++@{_DOMAIN}"
+EMAIL_ADDRESS = TEXT + (
+    rf"\G([^{_LOCAL_CHARS}]*+(?:(?!(?={_LOCAL}++@){_TO_ADDRESS}{_ADDRESS}){_LOCAL}++[^{_LOCAL_CHARS}]*+)*+"
+    rf"(?={_LOCAL}++@){_TO_ADDRESS})({_ADDRESS})"
+)
+# Every phone number and freight id holds a run of this many digits.
+FOUR_DIGITS = TEXT + rf"{D}{{4}}"
 PHONE = TEXT + (
-    rf"(?<![{D}{_HIGH_DIGIT}])(?:\+?1[\s\x1c-\x1f.\-]?)?(?:\(?{D}{{3}}\)?[\s\x1c-\x1f.\-]?)?"
+    rf"(?=[+({D}])(?<![{D}{_HIGH_DIGIT}])(?:\+?1[\s\x1c-\x1f.\-]?)?(?:\(?{D}{{3}}\)?[\s\x1c-\x1f.\-]?)?"
     rf"{D}{{3}}[\s\x1c-\x1f.\-]?{D}{{4}}(?!{D})"
 )
-EQUIPMENT_ID = TEXT + rf"{LEFT}[A-Z]{{2,4}}{S}?{D}{{6}}{RIGHT}"
-ORDER_NUMBER = ANYCASE + rf"{LEFT}(?:SO|PO|WB|BO)-{D}{{4}}-{D}{{4,6}}{RIGHT}"
-WAYBILL = TEXT + rf"{LEFT}{D}{{7,10}}{RIGHT}"
+EQUIPMENT_ID = TEXT + rf"(?=[A-Z]){LEFT}[A-Z]{{2,4}}{S}?{D}{{6}}{RIGHT}"
+ORDER_NUMBER = ANYCASE + rf"{_one_of('spwb')}{LEFT}(?:SO|PO|WB|BO)-{D}{{4}}-{D}{{4,6}}{RIGHT}"
+WAYBILL = TEXT + rf"(?={D}){LEFT}{D}{{7,10}}{RIGHT}"
 
 EMAIL_MASK = "[EMAIL]"
 PHONE_MASK = "[PHONE]"
@@ -162,7 +210,7 @@ URL_MASK = "[URL]"
 
 # A weight as written in a message; ours.
 WEIGHT = ANYCASE + (
-    rf"{LEFT}{D}[{D},]*+(?:\.{D}++)?+{S}?(?:lbs?|pounds?|kgs?|kilograms?|tons?|tonnes?){RIGHT}"
+    rf"(?={D}){LEFT}{D}[{D},]*+(?:\.{D}++)?+{S}?(?:lbs?|pounds?|kgs?|kilograms?|tons?|tonnes?){RIGHT}"
 )
 
 # ---------------------------------------------------------------------------
@@ -184,7 +232,7 @@ CALL_METADATA = ANYCASE_LINES + (
     )
     + r")[^\n]*+"
 )
-CALL_TIME = TEXT + rf"\[?\(?{D}{{1,2}}:{D}{{2}}(?::{D}{{2}})?+\)?+\]?+{S}*+[-\u2014]?+{S}*+"
+CALL_TIME = TEXT + rf"(?=[\[({D}])\[?\(?{D}{{1,2}}:{D}{{2}}(?::{D}{{2}})?+\)?+\]?+{S}*+[-\u2014]?+{S}*+"
 
 _CALL_NOTE = (
     r"\[(?:"
@@ -214,22 +262,19 @@ _AGENT_SIDE = _words(
 )
 _CUSTOMER_SIDE = _words("customer", "caller", "client", "user")
 
-CALL_LABEL = ANYCASE_LINES + (
-    LINE_START
-    + rf"[\[(]?+(?:{_AGENT_SIDE}|{_CUSTOMER_SIDE}|speaker{S}*+{D}*+)"
-    + rf"{S}*+{D}*+[\])]?+{S}*+:{S}*+"
+CALL_LABEL = ANYCASE + _at_line(
+    rf"[\[(]?+(?:{_AGENT_SIDE}|{_CUSTOMER_SIDE}|speaker{S}*+{D}*+){S}*+{D}*+[\])]?+{S}*+:{S}*+"
 )
-CALL_AGENT_LINE = ANYCASE_LINES + (
-    LINE_START
-    + rf"[\[(]?+(?:{_AGENT_SIDE}|speaker{S}*+[02-9]{D}*+)[\])]?+{S}*+:{S}*+[^\n]*+"
+CALL_AGENT_LINE = ANYCASE + (
+    _at_line(rf"[\[(]?+(?:{_AGENT_SIDE}|speaker{S}*+[02-9]{D}*+)[\])]?+{S}*+:{S}*+") + r"[^\n]*+"
 )
 # Group 2 is what the customer said.
-CALL_CUSTOMER_LINE = ANYCASE_LINES + (
-    LINE_START + rf"[\[(]?+(?:{_CUSTOMER_SIDE}|speaker{S}*+1)[\])]?+{S}*+:{S}*+([^\n]*+)"
+CALL_CUSTOMER_LINE = ANYCASE + (
+    _at_line(rf"[\[(]?+(?:{_CUSTOMER_SIDE}|speaker{S}*+1)[\])]?+{S}*+:{S}*+") + r"([^\n]*+)"
 )
 
-FILLER = ANYCASE + (
-    LEFT
+FILLER = ANYCASE + _at_word(
+    _one_of("uhmaelyibsor")
     + "(?:"
     + _words(
         "uh+",
@@ -282,8 +327,8 @@ CHAT_METADATA = ANYCASE_LINES + (
 )
 _CLOCK_END = rf"\)?+\]?+{S}*+[-\u2014]?+{S}*+"
 CHAT_TIME = ANYCASE + (
-    rf"\[?\(?{D}{{4}}-{D}{{2}}-{D}{{2}}{S}*+{D}{{2}}:{D}{{2}}(?::{D}{{2}})?+{_CLOCK_END}"
-    rf"|\[?\(?{D}{{1,2}}:{D}{{2}}(?::{D}{{2}})?+{S}*+(?:AM|PM)?+{_CLOCK_END}"
+    rf"(?=[\[({D}])(?:\[?\(?{D}{{4}}-{D}{{2}}-{D}{{2}}{S}*+{D}{{2}}:{D}{{2}}(?::{D}{{2}})?+{_CLOCK_END}"
+    rf"|\[?\(?{D}{{1,2}}:{D}{{2}}(?::{D}{{2}})?+{S}*+(?:AM|PM)?+{_CLOCK_END})"
 )
 
 _CHAT_EVENT = (
@@ -305,7 +350,7 @@ _CHAT_EVENT = (
 )
 CHAT_EVENT = ANYCASE + rf"{_CHAT_EVENT}\]|({_CHAT_EVENT}\z)"
 EMOJI = (
-    r"[\u2500-\u2bef\x{1f600}-\x{1f64f}\x{1f300}-\x{1f5ff}\x{1f680}-\x{1f6ff}"
+    r"(?=[\u2500-\x{10ffff}])[\u2500-\u2bef\x{1f600}-\x{1f64f}\x{1f300}-\x{1f5ff}\x{1f680}-\x{1f6ff}"
     r"\x{1f1e0}-\x{1f1ff}\x{1f900}-\x{1f9ff}]++"
 )
 
@@ -322,16 +367,10 @@ _BOT_SIDE = _words(
 )
 _USER_SIDE = _words("user", "customer", "you", "client", "caller")
 
-CHAT_LABEL = ANYCASE_LINES + (
-    LINE_START + rf"[\[(]?+(?:{_BOT_SIDE}|{_USER_SIDE})[\])]?+{S}*+:{S}*+"
-)
-CHAT_BOT_LINE = ANYCASE_LINES + (
-    LINE_START + rf"[\[(]?+(?:{_BOT_SIDE})[\])]?+{S}*+:{S}*+[^\n]*+"
-)
+CHAT_LABEL = ANYCASE + _at_line(rf"[\[(]?+(?:{_BOT_SIDE}|{_USER_SIDE})[\])]?+{S}*+:{S}*+")
+CHAT_BOT_LINE = ANYCASE + _at_line(rf"[\[(]?+(?:{_BOT_SIDE})[\])]?+{S}*+:{S}*+") + r"[^\n]*+"
 # Group 2 is what the customer wrote.
-CHAT_CUSTOMER_LINE = ANYCASE_LINES + (
-    LINE_START + rf"[\[(]?+(?:{_USER_SIDE})[\])]?+{S}*+:{S}*+([^\n]*+)"
-)
+CHAT_CUSTOMER_LINE = ANYCASE + _at_line(rf"[\[(]?+(?:{_USER_SIDE})[\])]?+{S}*+:{S}*+") + r"([^\n]*+)"
 
 QUICK_REPLY = ANYCASE_LINES + (
     "^(?:"

@@ -40,11 +40,6 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(p.WHITESPACE))
 
 
-def text_or_empty(text: Column) -> Column:
-    """The text, or ``""`` where it is null or holds whitespace only."""
-    return F.coalesce(F.when(text.rlike(p.HAS_TEXT), text), F.lit(""))
-
-
 def normalize_newlines(text: Column) -> Column:
     return F.replace(text, F.lit("\r\n"), F.lit("\n"))
 
@@ -122,14 +117,15 @@ def first_words(text: Column, limit: int) -> Column:
     words than that is left as it is."""
 
     def shorten(t: Column) -> Column:
-        return let(
-            F.split(strip(t), p.WORD_GAP, limit + 1),
-            lambda words: F.when(
-                F.size(words) > limit, F.array_join(F.slice(words, 1, limit), " ")
-            ).otherwise(t),
-        )
-
-    return let(text, shorten)
+        return F.array_join(F.slice(F.split(strip(t), p.WORD_GAP, limit + 1), 1, limit), " ")
+
+    # A word too many takes at least two characters for each word before it.
+    return let(
+        text,
+        lambda t: F.when(
+            (F.octet_length(t) > 2 * limit) & t.rlike(p.more_words_than(limit)), shorten(t)
+        ).otherwise(t),
+    )
 
 
 def said_by_customer(text: Column, customer_line: str, fallback: Callable[[Column], Column]) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 
 from deskline.functions import patterns as p
 from deskline.functions.text import collapse_whitespace, replace_all, said_by_customer, when_contains
-from deskline.operators.cleaning import Projection, input_text, normalize
+from deskline.operators.cleaning import Projection, input_text, normalize, unless_blank
 
 
 def strip_labels(text: Column) -> Column:
@@ -26,9 +26,9 @@ def strip_typing_noise(text: Column) -> Column:
     return replace_all(text, p.PUNCTUATION_RUN, "$1")
 
 
-def cleaned_chat(frame: Projection, text: Column, customer_only: bool = True) -> Column:
-    """The cleaned form of ``text``, which must not be null."""
-    text = replace_all(normalize(frame, text), p.CHAT_METADATA)
+def cleaned_chat(frame: Projection, raw: Column, customer_only: bool = True) -> Column:
+    """The cleaned form of a raw column; never null."""
+    text = replace_all(normalize(frame, unless_blank(raw, raw)), p.CHAT_METADATA)
     text = when_contains(text, ":", lambda t: replace_all(t, p.CHAT_TIME))
     text = when_contains(text, "[", lambda t: replace_all(t, p.CHAT_EVENT, "$1"))
     text = replace_all(text, p.EMOJI)

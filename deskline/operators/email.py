@@ -19,7 +19,7 @@ from deskline.functions.text import (
     when_contains,
 )
 from deskline.functions.unicode import unescape_html
-from deskline.operators.cleaning import Projection, input_text, normalize
+from deskline.operators.cleaning import Projection, input_text, normalize, unless_blank
 
 
 @dataclass(frozen=True)
@@ -106,6 +106,14 @@ def mask_identifiers(text: Column, config: EmailConfig) -> Column:
         text = replace_all(text, p.URL, p.URL_MASK)
     if config.strip_emails:
         text = when_contains(text, "@", lambda t: replace_all(t, p.EMAIL_ADDRESS, "$1" + p.EMAIL_MASK))
+    if config.strip_phone_numbers or config.strip_ids:
+        text = let(
+            text, lambda t: F.when(t.rlike(p.FOUR_DIGITS), mask_numbers(t, config)).otherwise(t)
+        )
+    return text
+
+
+def mask_numbers(text: Column, config: EmailConfig) -> Column:
     if config.strip_phone_numbers:
         text = replace_all(text, p.PHONE, p.PHONE_MASK)
     if config.strip_ids:
@@ -115,10 +123,11 @@ def mask_identifiers(text: Column, config: EmailConfig) -> Column:
     return text
 
 
-def cleaned_email(frame: Projection, text: Column, config: EmailConfig) -> Column:
-    """The cleaned form of ``text``, which must not be null."""
+def cleaned_email(frame: Projection, raw: Column, config: EmailConfig) -> Column:
+    """The cleaned form of a raw column; never null."""
+    text = unless_blank(raw, unescape_html(raw) if config.strip_html else raw)
     if config.strip_html:
-        text = strip_tags(unescape_html(frame.bind(text)))
+        text = strip_tags(text)
     text = normalize(frame, text) if config.normalize_unicode else normalize_newlines(text)
     text = strip_chain(text, config)
     if config.strip_disclaimers:

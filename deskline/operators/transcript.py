@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 
 from deskline.functions import patterns as p
 from deskline.functions.text import collapse_whitespace, replace_all, said_by_customer, when_contains
-from deskline.operators.cleaning import Projection, input_text, normalize
+from deskline.operators.cleaning import Projection, input_text, normalize, unless_blank
 
 
 def strip_labels(text: Column) -> Column:
@@ -21,14 +21,14 @@ def strip_agent_lines(text: Column) -> Column:
 
 def strip_speech_noise(text: Column) -> Column:
     """Filler words, repeated ellipses and dashes."""
-    text = replace_all(text, p.FILLER)
+    text = replace_all(text, p.FILLER, "$1")
     text = when_contains(text, "..", lambda t: replace_all(t, p.ELLIPSES, "... "))
     return when_contains(text, "--", lambda t: replace_all(t, p.DASHES, "-"))
 
 
-def cleaned_transcript(frame: Projection, text: Column, customer_only: bool = True) -> Column:
-    """The cleaned form of ``text``, which must not be null."""
-    text = replace_all(normalize(frame, text), p.CALL_METADATA)
+def cleaned_transcript(frame: Projection, raw: Column, customer_only: bool = True) -> Column:
+    """The cleaned form of a raw column; never null."""
+    text = replace_all(normalize(frame, unless_blank(raw, raw)), p.CALL_METADATA)
     text = when_contains(text, ":", lambda t: replace_all(t, p.CALL_TIME))
     text = when_contains(text, "[", lambda t: replace_all(t, p.CALL_NOTE, "$1"))
     if customer_only:

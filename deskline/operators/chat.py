@@ -26,9 +26,9 @@ def strip_typing_noise(text: Column) -> Column:
     return replace_all(text, p.PUNCTUATION_RUN, "$1")
 
 
-def cleaned_chat(frame: Projection, raw: Column, customer_only: bool = True) -> Column:
-    """The cleaned form of a raw column; never null."""
-    text = replace_all(normalize(frame, unless_blank(raw, raw)), p.CHAT_METADATA)
+def chat_body(text: Column, customer_only: bool = True) -> Column:
+    """The steps after the normalization of characters."""
+    text = replace_all(text, p.CHAT_METADATA)
     text = when_contains(text, ":", lambda t: replace_all(t, p.CHAT_TIME))
     text = when_contains(text, "[", lambda t: replace_all(t, p.CHAT_EVENT, "$1"))
     text = replace_all(text, p.EMOJI)
@@ -48,5 +48,6 @@ def clean_chats(
     otherwise all turns are kept without their labels. A narrow projection.
     """
     frame = Projection(df)
-    text = cleaned_chat(frame, input_text(df, in_col), customer_only)
-    return frame.result(out_col, text)
+    raw = input_text(df, in_col)
+    text = normalize(frame, unless_blank(raw, raw))
+    return frame.result(out_col, chat_body(text, customer_only))

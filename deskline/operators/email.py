@@ -123,12 +123,15 @@ def mask_numbers(text: Column, config: EmailConfig) -> Column:
     return text
 
 
-def cleaned_email(frame: Projection, raw: Column, config: EmailConfig) -> Column:
-    """The cleaned form of a raw column; never null."""
-    text = unless_blank(raw, unescape_html(raw) if config.strip_html else raw)
-    if config.strip_html:
-        text = strip_tags(text)
-    text = normalize(frame, text) if config.normalize_unicode else normalize_newlines(text)
+def decoded_email(raw: Column, config: EmailConfig) -> Column:
+    """The first steps, up to the normalization of characters; never null."""
+    if not config.strip_html:
+        return unless_blank(raw, raw)
+    return strip_tags(unless_blank(raw, unescape_html(raw)))
+
+
+def email_body(text: Column, config: EmailConfig) -> Column:
+    """The steps after the normalization of characters."""
     text = strip_chain(text, config)
     if config.strip_disclaimers:
         text = cut_from(text, p.FROM_DISCLAIMER)
@@ -153,6 +156,8 @@ def clean_emails(
 
     A narrow projection: no shuffle, and rows keep their other columns.
     """
+    config = config or EmailConfig()
     frame = Projection(df)
-    text = cleaned_email(frame, input_text(df, in_col), config or EmailConfig())
-    return frame.result(out_col, text)
+    text = decoded_email(input_text(df, in_col), config)
+    text = normalize(frame, text) if config.normalize_unicode else normalize_newlines(text)
+    return frame.result(out_col, email_body(text, config))

@@ -26,9 +26,9 @@ def strip_speech_noise(text: Column) -> Column:
     return when_contains(text, "--", lambda t: replace_all(t, p.DASHES, "-"))
 
 
-def cleaned_transcript(frame: Projection, raw: Column, customer_only: bool = True) -> Column:
-    """The cleaned form of a raw column; never null."""
-    text = replace_all(normalize(frame, unless_blank(raw, raw)), p.CALL_METADATA)
+def transcript_body(text: Column, customer_only: bool = True) -> Column:
+    """The steps after the normalization of characters."""
+    text = replace_all(text, p.CALL_METADATA)
     text = when_contains(text, ":", lambda t: replace_all(t, p.CALL_TIME))
     text = when_contains(text, "[", lambda t: replace_all(t, p.CALL_NOTE, "$1"))
     if customer_only:
@@ -47,5 +47,6 @@ def clean_transcripts(
     otherwise all turns are kept without their labels. A narrow projection.
     """
     frame = Projection(df)
-    text = cleaned_transcript(frame, input_text(df, in_col), customer_only)
-    return frame.result(out_col, text)
+    raw = input_text(df, in_col)
+    text = normalize(frame, unless_blank(raw, raw))
+    return frame.result(out_col, transcript_body(text, customer_only))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,13 +63,15 @@ def _checked(labels: Iterable[str]) -> list[str]:
 
 def mapping_table(spark: SparkSession, mapping: Mapping[str, str]) -> DataFrame:
     """A label mapping as a small table ``from_label, to_label``."""
-    rows = [(label, mapping[label]) for label in _checked(mapping)]
-    return spark.createDataFrame(rows, "from_label string, to_label string")
+    labels = _checked(mapping)
+    return spark.createDataFrame(
+        pa.table({"from_label": labels, "to_label": [mapping[label] for label in labels]})
+    )
 
 
 def taxonomy_table(spark: SparkSession, intents: Iterable[str] = INTENTS) -> DataFrame:
     """A taxonomy as a small table ``intent``."""
-    return spark.createDataFrame([(i,) for i in _checked(intents)], "intent string")
+    return spark.createDataFrame(pa.table({"intent": _checked(intents)}))
 
 
 def relabel(df: DataFrame, mapping: Mapping[str, str], source: str, label_col: str = "intent") -> DataFrame:

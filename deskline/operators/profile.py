@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskline.functions.text import count_words
@@ -28,20 +28,31 @@ def word_stats(df: DataFrame, text_col: str = "text", by: Sequence[str] = ()) ->
 
 def samples_per_label(
     df: DataFrame,
-    order: Sequence[Column | str],
+    order: Sequence[str],
     labels: Sequence[str] | None = None,
     size: int = 3,
     label_col: str = "intent",
 ) -> DataFrame:
-    """The first ``size`` rows of each label; labels without rows are left out.
+    """The first ``size`` rows of each label by the ``order`` columns, with their
+    ``position``; labels without rows are left out.
 
-    Each task cuts its own rows down to the first of each label before the shuffle,
-    so a label that holds most rows does not gather in one task.
+    The label and order columns alone tell where each label's samples end, so the
+    texts are read once more but only the samples are sorted. Every task cuts its
+    rows down to the first of each label before the shuffle: a label that holds most
+    rows does not gather in one task.
     """
     label = F.col(f"`{label_col}`")
     rows = df.filter(label.isNotNull()) if labels is None else df.filter(label.isin(list(labels)))
-    position = F.row_number().over(Window.partitionBy(label).orderBy(*order))
-    return rows.withColumn("position", position).filter(F.col("position") <= size)
+    ordering = [F.col(f"`{c}`") for c in order]
+    position = F.row_number().over(Window.partitionBy(label).orderBy(*ordering))
+
+    def first(of: DataFrame) -> DataFrame:
+        return of.withColumn("position", position).filter(F.col("position") <= size)
+
+    keys = first(rows.select(label, *ordering))
+    ends = keys.groupBy(label.alias("_label")).agg(F.max(F.struct(*ordering)).alias("_end"))
+    near = rows.join(ends, label == F.col("_label")).filter(F.struct(*ordering) <= F.col("_end"))
+    return first(near.drop("_label", "_end"))
 
 
 def funnel(counts: DataFrame, steps: Sequence[str]) -> DataFrame:

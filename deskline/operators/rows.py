@@ -28,7 +28,9 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
     rank = [F.col(c) if isinstance(c, str) else c for c in order]
     ordered = [r.alias(f"_order{i}") for i, r in enumerate(rank)]
     first = F.min(F.struct(*ordered, *[F.col(f"`{c}`") for c in rest])).alias("_first")
-    grouped = df.groupBy(*[F.col(f"`{c}`") for c in keys]).agg(first)
+    by = [F.col(f"`{c}`") for c in keys]
+    # Sorting by a hash first spares most comparisons of long texts.
+    grouped = df.groupBy(F.xxhash64(*by).alias("_hash"), *by).agg(first)
     return grouped.select(
         *[F.col(f"`{c}`") if c in keys else F.col("_first").getField(c).alias(c) for c in df.columns]
     )
@@ -47,7 +49,7 @@ def seeded_shuffle(df: DataFrame, seed: int = 42, key: Sequence[str] | None = No
         return df.orderBy(F.xxhash64(F.lit(seed), *order), *order)
     columns = [F.col(f"`{c}`") for c in df.columns]
     per_task = F.lit(_COPIES_PER_TASK)
-    last_chunk = F.floor((F.col("_copies") - 1) / per_task)
+    last_chunk = F.expr(f"(_copies - 1) div {_COPIES_PER_TASK}")
     chunks = (
         df.groupBy(*columns)
         .agg(F.count("*").alias("_copies"))

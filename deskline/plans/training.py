@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from deskline.functions import patterns as p
 from deskline.functions.text import strip
 from deskline.operators.labels import (
     INTENTS,
@@ -68,14 +69,12 @@ def relabel_funnel(
 
 
 def _stacked(relabelled: DataFrame, synthetic: DataFrame) -> DataFrame:
-    return stack(
-        relabelled.withColumn("_side", F.lit(0)), synthetic.withColumn("_side", F.lit(1))
-    ).withColumn("text", strip(F.col("text")))
+    return stack(relabelled.withColumn("_side", F.lit(0)), synthetic.withColumn("_side", F.lit(1)))
 
 
 def _usable() -> Column:
-    """Neither text nor intent is missing, and the text is not empty."""
-    return F.col("text").isNotNull() & F.col("intent").isNotNull() & (F.length("text") > 0)
+    """Neither text nor intent is missing, and stripping leaves some text."""
+    return F.col("text").isNotNull() & F.col("intent").isNotNull() & F.col("text").rlike(p.HAS_TEXT)
 
 
 def build_training_table(
@@ -88,7 +87,7 @@ def build_training_table(
     synthetic ones, and within a table ``order``, columns both have, decides. Without
     it the smallest intent and source win, since a table has no order of its own.
     """
-    usable = _stacked(relabelled, synthetic).filter(_usable())
+    usable = _stacked(relabelled, synthetic).filter(_usable()).withColumn("text", strip(F.col("text")))
     ranked = usable.select(*COLUMNS, "_side", *[c for c in order if c not in COLUMNS])
     unique = keep_first(ranked, ["text"], ["_side", *order, "intent", "source"])
     return seeded_shuffle(unique.select(*COLUMNS), seed, key=["text"])
@@ -99,7 +98,7 @@ def training_funnel(relabelled: DataFrame, synthetic: DataFrame) -> DataFrame:
 
     Texts are counted per side first, so copies collapse before the shuffle.
     """
-    usable = F.when(_usable(), F.col("text"))
+    usable = F.when(_usable(), strip(F.col("text")))
     texts = (
         _stacked(relabelled, synthetic)
         .groupBy(usable.alias("text"))

@@ -25,7 +25,7 @@ CLEANERS = {
 }
 PIECES = (
     "Customer: |User:|Agent: |Bot:|\n|\n\n| |\t|\r\n|\xa0|\x85|>|> x|--|___|---|Thanks,|\nRegards\n|Forwarded message|On a b c wrote:|"
-    "From: x|10:30|[typing]|[pause]|uh|like|...|!!|?|&amp;|&lt;|&nbsp;|<b>|<|é|​|﻿|http://a.b|a@b.com|555-0123|"
+    "From: x|10:30|[typing]|[pause]|uh|like|...|!!|?|&amp;|&lt;|&nbsp;|<b>|<|e\u0301|\u200b|\ufeff|http://a.b|a@b.com|555-0123|"
     "CSXT 123456|disclaimer|[image|]|hello|word|PO-2024-00001|\U0001f624|yes|no"
 ).split("|")
 
@@ -45,7 +45,7 @@ def test_properties(spark, name):
     limit = 256 if "strict" in name else 512
     for text in one.values():
         assert text is not None and text == text.strip()
-        assert "\r\n" not in text and "\n\n\n" not in text and "​" not in text
+        assert "\r\n" not in text and "\n\n\n" not in text and "\u200b" not in text
         assert "email" not in name or len(text.split()) <= limit
 
 
@@ -73,7 +73,7 @@ LONG = {
     "uh": "u" + "h" * LENGTH,
     "fillers": "uh like " * (LENGTH // 8),
     "letters": "x" * LENGTH,
-    "marks": "é" * (LENGTH // 3),
+    "marks": "e\u0301" * (LENGTH // 3),
     "entities": "&amp;" * (LENGTH // 5),
     "words": "some words " * (LENGTH // 11),
 }
@@ -106,7 +106,7 @@ def test_unescape_and_nfc_equal_the_standard_library(spark):
 
     rng = random.Random(4)
     chars = [chr(c) for c in (*range(0x20, 0x400), *range(0x1100, 0x1200), *range(0x1E00, 0x2200), *range(0xAC00, 0xAC20))]
-    chars += ["́", "̧", "̸", "<", "e", "\U0001d15e", "יִ", "Ω"] * 30
+    chars += ["\u0301", "\u0327", "\u0338", "<", "e", "\U0001d15e", "\ufb1d", "\u2126"] * 30
     texts = ["".join(rng.choices(chars, k=8)) for _ in range(5000)]
     names = ["amp", "copy", "lt", "nbsp", "notit", "#65", "#x41", "#xD800", "#0", "#1114112", "hearts", "zzz", "AMP"]
     texts += ["".join(rng.choice(["&", "a", ";", "", " "]) + rng.choice(names) + rng.choice([";", "", " "]) for _ in range(4)) for _ in range(3000)]
@@ -134,7 +134,7 @@ def test_texts_outside_the_nfc_class_never_change(spark):
 @pytest.mark.parametrize("limit", [1, 3, 50])
 def test_first_words(spark, limit):
     rng = random.Random(5)
-    texts = ["".join(rng.choices(["a", "bc", " ", "\n", "\xa0", "\x1c", "　", "."], k=rng.randint(0, 120))) for _ in range(2000)]
+    texts = ["".join(rng.choices(["a", "bc", " ", "\n", "\xa0", "\x1c", "\u3000", "."], k=rng.randint(0, 120))) for _ in range(2000)]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     for r in df.select("t", first_words(F.col("t"), limit).alias("got")).collect():
         words = r.t.split()

@@ -121,7 +121,7 @@ def test_texts_outside_the_nfc_class_never_change(spark):
     assigned = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF]
     df = spark.createDataFrame([(c,) for c in assigned], "c string")
     passing = {r.c for r in df.filter(~F.col("c").rlike(p.MAYBE_NOT_NFC)).collect()}
-    assert len(passing) > 100_000
+    assert len(passing) > 20_000
     for c in passing:
         assert unicodedata.combining(c) == 0 and unicodedata.normalize("NFC", c) == c, hex(ord(c))
     for c in assigned:

@@ -158,6 +158,17 @@ FROM_DISCLAIMER = ANYCASE + (
     + r")[\s\S]*+"
 )
 
+# No disclaimer phrase goes without one of these.
+DISCLAIMER_WORDS = (
+    "confidential",
+    "disclaimer",
+    "legal",
+    "privileged",
+    "intended",
+    "received",
+    "information",
+)
+
 FROM_SIGNATURE_MARK = LINES + rf"^(?:--{B}*+|_{{3,}}+)(?:\n|\z)[\s\S]*+"
 FROM_CLOSING = ANYCASE + (
     r"\n(?:"

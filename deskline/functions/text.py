@@ -7,6 +7,8 @@ the expression tree growing faster than the number of steps.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,9 +32,31 @@ def replace_all(text: Column, pattern: str, replacement: str = "") -> Column:
     return F.regexp_replace(text, F.lit(pattern), F.lit(replacement))
 
 
-def when_contains(text: Column, needle: str, step: Callable[[Column], Column]) -> Column:
-    """``step(text)`` for texts that hold ``needle``, the text itself otherwise."""
-    return let(text, lambda t: F.when(F.contains(t, F.lit(needle)), step(t)).otherwise(t))
+def only_if(
+    text: Column, test: Callable[[Column], Column], step: Callable[[Column], Column]
+) -> Column:
+    """``step(text)`` for texts that pass a cheap test, the text itself otherwise."""
+    return let(text, lambda t: F.when(test(t), step(t)).otherwise(t))
+
+
+def when_contains(text: Column, needles: str | tuple[str, ...], step: Callable[[Column], Column]) -> Column:
+    """``step(text)`` for texts that hold any of the needles."""
+    needles = (needles,) if isinstance(needles, str) else needles
+    return only_if(text, lambda t: contains_any(t, needles), step)
+
+
+def contains_any(text: Column, needles: tuple[str, ...]) -> Column:
+    return reduce(or_, (F.contains(text, F.lit(n)) for n in needles))
+
+
+def is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.length(text)
+
+
+def may_contain_any(text: Column, needles: tuple[str, ...]) -> Column:
+    """False only if the text holds none of the needles, lower-case ASCII words, in any
+    case. Other characters may fold to ASCII ones, so a text with any is let through."""
+    return ~is_ascii(text) | let(F.lower(text), lambda lowered: contains_any(lowered, needles))
 
 
 def strip(text: Column) -> Column:
@@ -46,8 +70,8 @@ def normalize_newlines(text: Column) -> Column:
 
 def collapse_whitespace(text: Column) -> Column:
     """At most one blank line, single spaces, nothing at either end."""
-    text = replace_all(text, p.NEWLINES, "\n\n")
-    text = replace_all(text, p.SPACES, " ")
+    text = when_contains(text, "\n\n\n", lambda t: replace_all(t, p.NEWLINES, "\n\n"))
+    text = when_contains(text, ("  ", "\t"), lambda t: replace_all(t, p.SPACES, " "))
     return strip(text)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from deskline.functions import patterns as p
+from deskline.functions.text import is_ascii
 
 
 def _unescape_udf():
@@ -50,5 +51,4 @@ def unescape_html(text: Column) -> Column:
 def to_nfc(text: Column) -> Column:
     """Unicode normalization form C. ``text`` should be a plain column: it is named
     more than once."""
-    ascii_only = F.octet_length(text) == F.length(text)
-    return F.coalesce(_nfc_udf()(F.when(~ascii_only & text.rlike(p.MAYBE_NOT_NFC), text)), text)
+    return F.coalesce(_nfc_udf()(F.when(~is_ascii(text) & text.rlike(p.MAYBE_NOT_NFC), text)), text)

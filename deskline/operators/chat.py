@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 
 from deskline.functions import patterns as p
-from deskline.functions.text import collapse_whitespace, replace_all, said_by_customer, when_contains
+from deskline.functions.text import (
+    collapse_whitespace,
+    is_ascii,
+    only_if,
+    replace_all,
+    said_by_customer,
+    when_contains,
+)
 from deskline.operators.cleaning import Projection, input_text, normalize, unless_blank
 
 
@@ -31,7 +38,7 @@ def chat_body(text: Column, customer_only: bool = True) -> Column:
     text = replace_all(text, p.CHAT_METADATA)
     text = when_contains(text, ":", lambda t: replace_all(t, p.CHAT_TIME))
     text = when_contains(text, "[", lambda t: replace_all(t, p.CHAT_EVENT, "$1"))
-    text = replace_all(text, p.EMOJI)
+    text = only_if(text, lambda t: ~is_ascii(t), lambda t: replace_all(t, p.EMOJI))
     if customer_only:
         text = said_by_customer(text, p.CHAT_CUSTOMER_LINE, strip_bot_lines)
     else:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deskline.functions import patterns as p
-from deskline.functions.text import normalize_newlines, replace_all
+from deskline.functions.text import is_ascii, normalize_newlines, only_if, replace_all
 from deskline.functions.unicode import to_nfc
 
 
@@ -52,5 +52,7 @@ def unless_blank(raw: Column, text: Column) -> Column:
 
 def normalize(frame: Projection, text: Column) -> Column:
     """LF line ends, no zero-width characters, normalization form C."""
-    text = replace_all(normalize_newlines(text), p.ZERO_WIDTH)
+    text = only_if(
+        normalize_newlines(text), lambda t: ~is_ascii(t), lambda t: replace_all(t, p.ZERO_WIDTH)
+    )
     return to_nfc(frame.bind(text))

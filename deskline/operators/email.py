@@ -13,7 +13,9 @@ from deskline.functions.text import (
     cut_from,
     first_words,
     let,
+    may_contain_any,
     normalize_newlines,
+    only_if,
     remove_forwards,
     replace_all,
     when_contains,
@@ -86,12 +88,21 @@ def strip_chain(text: Column, config: EmailConfig) -> Column:
     return when_contains(text, ">", lambda t: replace_all(t, p.QUOTED_LINE, "$1"))
 
 
+def strip_disclaimer(text: Column) -> Column:
+    """Cut from the first disclaimer phrase."""
+    return only_if(
+        text,
+        lambda t: may_contain_any(t, p.DISCLAIMER_WORDS),
+        lambda t: cut_from(t, p.FROM_DISCLAIMER),
+    )
+
+
 def strip_signature(text: Column) -> Column:
     """Cut from the first ``--`` or ``___`` line, or, in texts without one, from the
     first closing phrase on a line of its own."""
 
     def cut(t: Column) -> Column:
-        marked = cut_from(t, p.FROM_SIGNATURE_MARK)
+        marked = when_contains(t, ("--", "___"), lambda t: cut_from(t, p.FROM_SIGNATURE_MARK))
         return let(
             marked, lambda head: F.when(head == t, cut_from(t, p.FROM_CLOSING)).otherwise(head)
         )
@@ -107,9 +118,7 @@ def mask_identifiers(text: Column, config: EmailConfig) -> Column:
     if config.strip_emails:
         text = when_contains(text, "@", lambda t: replace_all(t, p.EMAIL_ADDRESS, "$1" + p.EMAIL_MASK))
     if config.strip_phone_numbers or config.strip_ids:
-        text = let(
-            text, lambda t: F.when(t.rlike(p.FOUR_DIGITS), mask_numbers(t, config)).otherwise(t)
-        )
+        text = only_if(text, lambda t: t.rlike(p.FOUR_DIGITS), lambda t: mask_numbers(t, config))
     return text
 
 
@@ -134,7 +143,7 @@ def email_body(text: Column, config: EmailConfig) -> Column:
     """The steps after the normalization of characters."""
     text = strip_chain(text, config)
     if config.strip_disclaimers:
-        text = cut_from(text, p.FROM_DISCLAIMER)
+        text = strip_disclaimer(text)
     if config.strip_signatures:
         text = strip_signature(text)
     text = mask_identifiers(text, config)

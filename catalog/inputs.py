@@ -7,7 +7,7 @@ EMAIL = """
 || 'Subject: Order ' || CAST(o_orderkey AS STRING) || chr(10)
 || 'Date: ' || CAST(CAST(o_orderdate AS DATE) AS STRING) || chr(10) || chr(10)
 || 'Hi team,' || chr(13) || chr(10)
-|| 'Car CSXT ' || lpad(CAST(o_orderkey % 1000000 AS STRING), 6, '0')
+|| 'Car ABCX ' || lpad(CAST(o_orderkey % 1000000 AS STRING), 6, '0')
 || ' waybill ' || CASE o_orderkey % 4
      WHEN 0 THEN CAST(2000000 + o_orderkey AS STRING)
      WHEN 1 THEN CAST(20000000 + o_orderkey AS STRING)
@@ -46,7 +46,7 @@ TRANSCRIPT = """
              WHEN 'assistant' THEN 'Agent' ELSE 'Operator' END
 || ': Uh, ' || text || chr(10)
 || CASE WHEN conv_id % 3 = 0 THEN '[00:09] Caller: I mean, it is like late.... ... you know -- umm, by 10:30' || chr(13) || chr(10) || 'Agent: okay so [inaudible 2s] mm-hmm' || chr(10) ELSE '' END
-|| CASE WHEN turn % 3 = 1 THEN 'CSX Agent: literally yes, uh-huh' || chr(10) ELSE '' END
+|| CASE WHEN turn % 3 = 1 THEN 'Representative: literally yes, uh-huh' || chr(10) ELSE '' END
 || CASE WHEN turn % 5 = 2 THEN 'plain words [pause]  basically so  yeah' || chr(10) ELSE '' END
 """
 

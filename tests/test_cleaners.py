@@ -26,7 +26,7 @@ CLEANERS = {
 PIECES = (
     "Customer: |User:|Agent: |Bot:|\n|\n\n| |\t|\r\n|\xa0|\x85|>|> x|--|___|---|Thanks,|\nRegards\n|Forwarded message|On a b c wrote:|"
     "From: x|10:30|[typing]|[pause]|uh|like|...|!!|?|&amp;|&lt;|&nbsp;|<b>|<|e\u0301|\u200b|\ufeff|http://a.b|a@b.com|555-0123|"
-    "CSXT 123456|disclaimer|[image|]|hello|word|PO-2024-00001|\U0001f624|yes|no"
+    "ABCX 123456|disclaimer|[image|]|hello|word|PO-2024-00001|\U0001f624|yes|no"
 ).split("|")
 
 

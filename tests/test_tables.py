@@ -258,14 +258,14 @@ def test_shared_folder_follows_the_session(spark):
 
 
 def test_entities(spark):
-    text = "a.b@c.com or x@y.co.uk, call 555-0123 or +1 (615) 555-0123; CSXT 123456, TTX987654, PO-2025-00812; 9876543; 2,000 lbs and 3.5 tons"
+    text = "a.b@c.com or x@y.co.uk, call 555-0123 or +1 (615) 555-0123; ABCX 123456, TTX987654, PO-2025-00812; 9876543; 2,000 lbs and 3.5 tons"
     df = spark.createDataFrame([(text,), (None,), ("",)], "clean_text string")
     found, *nothing = [r.entities.asDict() for r in records.extract_entities(df).collect()]
     assert found == {
         "emails": ["a.b@c.com", "x@y.co.uk"],
         "phones": ["555-0123", "+1 (615) 555-0123", "9876543"],
         "waybills": ["9876543"],
-        "equipment_ids": ["CSXT 123456", "TTX987654"],
+        "equipment_ids": ["ABCX 123456", "TTX987654"],
         "order_numbers": ["PO-2025-00812"],
         "weights": ["2,000 lbs", "3.5 tons"],
     }

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_LABELS = 10_000
@@ -50,6 +50,7 @@ OUT_OF_SCOPE_CLASS = 42
 OUT_OF_SCOPE_INTENT = "general_inquiry"
 
 NO_MATCH = "NO MATCH"
+LONGEST_BAR = 10_000
 
 
 def _checked(labels: Iterable[str]) -> list[str]:
@@ -152,9 +153,12 @@ def missing_intents(df: DataFrame, intents: Iterable[str] = INTENTS, label_col:
     return taxonomy_coverage(df, intents, label_col).filter(F.col("rows") == 0).select("intent")
 
 
-def histogram_bar(rows, rows_per_block: int):
-    """One block for every ``rows_per_block`` rows."""
-    return F.repeat(F.lit("█"), F.floor(rows / rows_per_block).cast("int"))
+def histogram_bar(rows: Column, rows_per_block: int) -> Column:
+    """One block for every ``rows_per_block`` rows. A bar too long to look at is written
+    as ``█ × n``, so that it stays small for counts of any size."""
+    blocks = F.floor(rows / rows_per_block)
+    short = F.repeat(F.lit("█"), F.least(blocks, F.lit(LONGEST_BAR)).cast("int"))
+    return F.when(blocks <= LONGEST_BAR, short).otherwise(F.concat(F.lit("█ × "), blocks))
 
 
 def label_histogram(df: DataFrame, rows_per_block: int, label_col: str = "intent") -> DataFrame:

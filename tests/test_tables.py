@@ -54,6 +54,12 @@ def test_counts_and_coverage(spark):
     assert tuples(labels.label_histogram(df, 2)) == [("a", 2, "█"), ("z", 1, "")]
 
 
+def test_bars_of_huge_counts_stay_small(spark):
+    df = spark.createDataFrame([(0,), (99,), (1_000_000,), (1_000_100,), (10**13,)], "n long")
+    bars = [r.bar for r in df.select(labels.histogram_bar(F.col("n"), 100).alias("bar")).collect()]
+    assert bars == ["", "", "█" * 10_000, "█ × 10001", "█ × 100000000000"]
+
+
 def test_mapping_preview(spark):
     df = spark.createDataFrame([("check_invoice",), ("complaint",), ("complaint",)], "intent string")
     out = {r.intent: (r.labels, r.rows) for r in labels.mapping_preview(df, labels.SUPPORT_LABELS).collect()}

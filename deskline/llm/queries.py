@@ -6,8 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from deskline.llm.common import fold
 from deskline.llm.exact_dedup import exact_dedup
 from deskline.llm.ngram_jaccard import ngram_jaccard_join
+from deskline.llm.ngram_lm import score_texts, train_bigram_model
 
 QUERIES = {}
 
@@ -21,6 +23,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op6_lm_scoring(spark, d):
+    documents = table(spark, d, "documents").select("doc_id", "text")
+    model = train_bigram_model(documents.where(fold("doc_id", 10) != 0))
+    return score_texts(documents, model).select(
+        F.col("id").alias("doc_id"),
+        (fold("id", 10) == 0).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.train_tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+        "perplexity",
+    )
+
+
 @query
 def op8_exact_dedup(spark, d):
     found = exact_dedup(table(spark, d, "documents"), keep="largest")

@@ -3,6 +3,7 @@ operators, and only digest columns are derived here."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +11,8 @@ from deskline.llm.common import fold
 from deskline.llm.exact_dedup import exact_dedup
 from deskline.llm.ngram_jaccard import ngram_jaccard_join
 from deskline.llm.ngram_lm import score_texts, train_bigram_model
+from deskline.llm.packing import pack, tokenized_pieces
+from deskline.llm.toxicity import toxicity, train_toxicity
 
 QUERIES = {}
 
@@ -23,6 +26,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def toxicity_model(spark, d):
+    """Words are learnt from folds 0 and 1, the curve from fold 3; fold 2 is held out."""
+    return train_toxicity(
+        table(spark, d, "documents"),
+        table(spark, d, "labels"),
+        learn_from=fold("doc_id", 4).isin(0, 1),
+        tune_on=fold("doc_id", 4) == 3,
+    )
+
+
+@query
+def op3_toxicity(spark, d):
+    scored = toxicity(table(spark, d, "documents"), toxicity_model(spark, d))
+    return scored.select(F.col("id").alias("doc_id"), (fold("id", 4) == 2).alias("held_out"), "score", "predicted", "mean", "peak")
+
+
 @query
 def op6_lm_scoring(spark, d):
     documents = table(spark, d, "documents").select("doc_id", "text")
@@ -45,6 +64,17 @@ def op8_exact_dedup(spark, d):
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256", "content_hash")
 
 
+def pieces(documents):
+    """Pieces of documents, each with the checksum of its ids."""
+    found = tokenized_pieces(documents, public_tokenizers.path("word_bpe_49k.json"))
+    return found.select("id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op9_best_fit_packing(spark, d):
+    return pack(pieces(table(spark, d, "documents"))).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op10_ngram_jaccard(spark, d):
     found = ngram_jaccard_join(table(spark, d, "documents"), words=3, percent=90)

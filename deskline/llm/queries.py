@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskline.llm.common import fold
+from deskline.llm.decontamination import find_benchmark_passages
 from deskline.llm.exact_dedup import exact_dedup
 from deskline.llm.ngram_jaccard import ngram_jaccard_join
 from deskline.llm.ngram_lm import score_texts, train_bigram_model
@@ -26,19 +27,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def toxicity_model(spark, d):
+@query
+def op1_decontamination(spark, d):
+    found = find_benchmark_passages(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def toxicity_model(documents, labels):
     """Words are learnt from folds 0 and 1, the curve from fold 3; fold 2 is held out."""
-    return train_toxicity(
-        table(spark, d, "documents"),
-        table(spark, d, "labels"),
-        learn_from=fold("doc_id", 4).isin(0, 1),
-        tune_on=fold("doc_id", 4) == 3,
-    )
+    learn_from, tune_on = fold("doc_id", 4).isin(0, 1), fold("doc_id", 4) == 3
+    return train_toxicity(documents, labels, learn_from, tune_on)
 
 
 @query
 def op3_toxicity(spark, d):
-    scored = toxicity(table(spark, d, "documents"), toxicity_model(spark, d))
+    documents = table(spark, d, "documents")
+    scored = toxicity(documents, toxicity_model(documents, table(spark, d, "labels")))
     return scored.select(F.col("id").alias("doc_id"), (fold("id", 4) == 2).alias("held_out"), "score", "predicted", "mean", "peak")
 
 

@@ -13,6 +13,7 @@ from deskline.llm.exact_dedup import exact_dedup
 from deskline.llm.ngram_jaccard import ngram_jaccard_join
 from deskline.llm.ngram_lm import score_texts, train_bigram_model
 from deskline.llm.packing import pack, tokenized_pieces
+from deskline.llm.url_filter import UrlRule, filter_urls, seed_urls, train_url_filter
 from deskline.llm.toxicity import toxicity, train_toxicity
 
 QUERIES = {}
@@ -33,6 +34,21 @@ def op1_decontamination(spark, d):
     return found.withColumnRenamed("id", "doc_id")
 
 
+URL_RULES = (
+    UrlRule("allow", "org", "/"),
+    UrlRule("block", "example.org", "/es/"),
+    UrlRule("block", "example.org", "/en/1"),
+    UrlRule("allow", "com", "/fr/"),
+    UrlRule("block", "com", "/de/"),
+)
+
+
+@query
+def op2_url_filter(spark, d):
+    trained = train_url_filter(seed_urls(spark))
+    return filter_urls(table(spark, d, "pages").select("page_id", "url"), trained, URL_RULES).drop("url")
+
+
 def toxicity_model(documents, labels):
     """Words are learnt from folds 0 and 1, the curve from fold 3; fold 2 is held out."""
     learn_from, tune_on = fold("doc_id", 4).isin(0, 1), fold("doc_id", 4) == 3

@@ -1,6 +1,51 @@
 """The queries that SQL can express, in DuckDB's SQL."""
 
+from deskline.llm.license_scan import NOTICES
+
+_TEMPLATES = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in NOTICES.items())
+
+
+def _words(text: str) -> str:
+    folded = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"[w for w in regexp_split_to_array({folded}, '[^\\p{{L}}\\p{{N}}]+') if w <> '']"
+
+
+def _ngrams(words: str) -> str:
+    return f"[array_to_string({words}[i:i + 2], ' ') for i in range(1, len({words}) - 1)]"
+
+
 SQL = {
+    # Every template's n-grams in every window that overlaps the next one by half.
+    "op4_license_scan": f"""
+WITH templates AS (
+    SELECT license, list_distinct({_ngrams('words')}) AS grams
+    FROM (SELECT license, {_words('template')} AS words FROM (VALUES {_TEMPLATES}) AS v(license, template))
+),
+wanted AS (
+    SELECT license, len(grams) AS ngrams, CAST(pow(2, ceil(log2(2 * len(grams))) - 1) AS BIGINT) AS half, unnest(grams) AS gram
+    FROM templates
+),
+texts AS (SELECT doc_id, {_words('text')} AS words FROM documents),
+found AS (
+    SELECT doc_id, unnest({_ngrams('words')}) AS gram, unnest(range(0, greatest(len(words) - 2, 0))) AS pos
+    FROM texts
+    WHERE len(words) > 2
+),
+hits AS (
+    SELECT doc_id, license, ngrams, half, gram, unnest([at_window, greatest(at_window - 1, 0)]) AS number
+    FROM (SELECT *, CAST(floor(pos / half) AS BIGINT) AS at_window FROM found JOIN wanted USING (gram))
+),
+windows AS (
+    SELECT doc_id, license, ngrams, number * half AS first_word, count(DISTINCT gram) AS inside
+    FROM hits
+    GROUP BY doc_id, license, ngrams, half, number
+)
+SELECT doc_id, license, max(inside / ngrams) AS containment, CAST(ngrams AS INT) AS ngrams,
+       CAST(min(first_word) AS INT) AS first_word
+FROM windows
+WHERE 100 * inside >= 80 * ngrams
+GROUP BY doc_id, license, ngrams
+""",
     "op8_exact_dedup": """
 SELECT doc_id,
        max(doc_id) OVER same AS keep_id,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from deskline.llm.common import fold
 from deskline.llm.decontamination import find_benchmark_passages
 from deskline.llm.exact_dedup import exact_dedup
+from deskline.llm.license_scan import license_scan, notice_templates
 from deskline.llm.ngram_jaccard import ngram_jaccard_join
 from deskline.llm.ngram_lm import score_texts, train_bigram_model
 from deskline.llm.packing import pack, tokenized_pieces
@@ -62,6 +63,12 @@ def op3_toxicity(spark, d):
     return scored.select(F.col("id").alias("doc_id"), (fold("id", 4) == 2).alias("held_out"), "score", "predicted", "mean", "peak")
 
 
+@query
+def op4_license_scan(spark, d):
+    found = license_scan(table(spark, d, "documents"), notice_templates(spark))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @query
 def op6_lm_scoring(spark, d):
     documents = table(spark, d, "documents").select("doc_id", "text")

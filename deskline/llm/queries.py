@@ -14,6 +14,8 @@ from deskline.llm.license_scan import license_scan, notice_templates
 from deskline.llm.ngram_jaccard import ngram_jaccard_join
 from deskline.llm.ngram_lm import score_texts, train_bigram_model
 from deskline.llm.packing import pack, tokenized_pieces
+from deskline.llm.secret_scan import secret_scan, seed_findings, train_secret_forest
+from deskline.llm.token_counts import apply_edits, build_token_trees
 from deskline.llm.url_filter import UrlRule, filter_urls, seed_urls, train_url_filter
 from deskline.llm.toxicity import toxicity, train_toxicity
 
@@ -69,6 +71,41 @@ def op4_license_scan(spark, d):
     return found.withColumnRenamed("id", "doc_id")
 
 
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+# Edits of a document: its language in front, its source instead of some characters in
+# the middle, and the last ones gone.
+EDITS = """
+array(
+    struct(0L AS start, 0L AS stop, concat(lang, ' ') AS insert),
+    struct(least(greatest(n - 5, 0), n div 2) AS start, least(greatest(n - 5, 0), n div 2 + 7) AS stop, source AS insert),
+    struct(greatest(n - 5, 0) AS start, n AS stop, '' AS insert)
+)
+"""
+
+
+def edited_documents(spark, d):
+    """The documents with the edits that ``op5_token_counts`` applies."""
+    sized = table(spark, d, "documents").withColumn("n", F.length(F.coalesce("text", F.lit(""))).cast("long"))
+    return sized.withColumn("edits", F.expr(EDITS))
+
+
+@query
+def op5_token_counts(spark, d):
+    edited = edited_documents(spark, d).select(F.struct("doc_id", "edits").alias("id"), "text")
+    trees = build_token_trees(edited, BYTE_RANKS, public_tokenizers.PATTERN, "id")
+    counted = apply_edits(trees.withColumn("edits", F.col("id.edits")).withColumn("id", F.col("id.doc_id")), BYTE_RANKS, public_tokenizers.PATTERN)
+    return counted.select(
+        F.col("id").alias("doc_id"),
+        "tokens_before",
+        "tokens_after",
+        "pretokens_encoded",
+        "leaves_touched",
+        "leaves",
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
 @query
 def op6_lm_scoring(spark, d):
     documents = table(spark, d, "documents").select("doc_id", "text")
@@ -85,6 +122,12 @@ def op6_lm_scoring(spark, d):
     )
 
 
+@query
+def op7_secret_scan(spark, d):
+    forest = train_secret_forest(seed_findings(spark))
+    return secret_scan(table(spark, d, "documents"), forest).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op8_exact_dedup(spark, d):
     found = exact_dedup(table(spark, d, "documents"), keep="largest")

@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from deskline.llm.common import fresh, table_of
 
-# Distinct words whose ids a worker remembers.
-_KNOWN_WORDS = 300_000
+# Distinct words whose ids a worker remembers: those that it meets first.
+_KNOWN_WORDS = 500_000
 # Texts whose new words are encoded together.
 _TOGETHER = 256
 
@@ -46,8 +46,8 @@ def tokenized_pieces(
     A document is the ids of its whole text and then ``end_id``. Only one with more than
     ``capacity`` ids is cut, into pieces of ``capacity`` and a last one. Null texts are
     empty: the end alone. The tokenizer is a file of the tokenizers library, read by the
-    driver; it must never make a token across a space, tab or line end, since words
-    between those are encoded one by one and remembered.
+    driver; it must never make a token across white space, since the words between are
+    encoded by themselves and remembered.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         rules = docs.sparkSession.sparkContext.broadcast(file.read())
@@ -78,27 +78,67 @@ def tokenized_pieces(
 
 
 def _word_encoder(rules: str):
-    """Ids of texts as bytes. The tokenizer and the words it has met are shared by the
-    tasks that one worker runs."""
+    """Ids of texts as bytes. The tokenizer and the words it has met first are shared by
+    the tasks that one worker runs.
+
+    If the tokenizer folds case and tells letters from stops, words are looked up without
+    the stops behind them, and where a text holds no marks that would compose with a letter, no special token and
+    no separator that only Python takes for a space, its A-Z are folded first, as the
+    tokenizer does, so a word is met in one form.
+    """
     shared = sys.modules.setdefault("_deskline_word_ids", types.ModuleType("_deskline_word_ids"))
     if getattr(shared, "rules", None) != rules:
         from tokenizers import Tokenizer
 
         shared.rules, shared.tokenizer, shared.known = rules, Tokenizer.from_str(rules), {}
+    tokenizer, known = shared.tokenizer, shared.known
+    special = re.compile("[\u0300-\u036f\x1c-\x1f]|<\\|").search
     split = re.compile("[^ \t\r\n]+").findall
+    # New words are encoded together, with a word between them whose id no other has.
+    between = "\x01"
+    mark = tokenizer.encode(between, add_special_tokens=False).ids
+    same = [tokenizer.encode(t, add_special_tokens=False).ids for t in ("Word,. a", "word ,. a")]
+    folds = same[0] == same[1]  # folds letters, and tells them from stops
+
+    def words_of(text: str) -> list[str]:
+        if not folds or special(text):
+            return split(text)
+        return (text.lower() if text.isascii() else text.encode().lower().decode()).split()
+
+    def encode_new(new: list[str]) -> dict[str, bytes]:
+        plain = [w for w in new if between not in w and not special(w)] if len(mark) == 1 else []
+        joined = np.array(tokenizer.encode_batch_fast([f" {between} ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(joined == mark[0]).tolist() if plain else []
+        found = {}
+        if plain and len(ends) == len(plain) - 1:
+            for word, start, end in zip(plain, [0, *(e + 1 for e in ends)], [*ends, len(joined)]):
+                found[word] = joined[start:end].tobytes()
+        rest = [w for w in new if w not in found]
+        for word, ids in zip(rest, tokenizer.encode_batch(rest, add_special_tokens=False)):
+            found[word] = np.array(ids.ids, "<u4").tobytes()
+        return found
+
+    def parts_of(word: str) -> tuple[str, ...]:
+        """The word and the stops behind it: no token holds a letter and a stop."""
+        core = word.rstrip(".,")
+        return (core, word[len(core) :]) if core != word and core[-1:].isalnum() else (word,)
 
     def encode(texts: list[str]) -> Iterator[bytes]:
-        known = shared.known
-        words = [split(t) for t in texts]
-        new = sorted({w for line in words for w in line if w not in known})
-        if new:
-            if len(known) + len(new) > _KNOWN_WORDS:
-                known.clear()
-                new = sorted({w for line in words for w in line})
-            for word, found in zip(new, shared.tokenizer.encode_batch(new, add_special_tokens=False)):
-                known[word] = np.array(found.ids, "<u4").tobytes()
-        for line in words:
-            yield b"".join([known[w] for w in line])
+        lines = [words_of(t) for t in texts]
+        ids = [list(map(known.get, words)) for words in lines]
+        missing = {w for words, own in zip(lines, ids) if None in own for w, x in zip(words, own) if x is None}
+        pieces = {w: parts_of(w) for w in missing} if folds else {w: (w,) for w in missing}
+        new = {p for parts in pieces.values() for p in parts if p not in known}
+        met = encode_new(sorted(new)) if new else {}
+        found = {w: b"".join([met[p] if p in met else known[p] for p in parts]) for w, parts in pieces.items()}
+        if len(known) < _KNOWN_WORDS:
+            known.update(met)
+        if len(known) < _KNOWN_WORDS // 2:
+            known.update(found)
+        for words, own in zip(lines, ids):
+            if None in own:
+                own = [found[w] if x is None else x for w, x in zip(words, own)]
+            yield b"".join(own)
 
     return encode
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from catalog import inputs
 from deskline.operators.labels import INTENTS
-from deskline.plans.synthetic import _PROMPT
 
 # Whitespace beyond what RE2 calls \s.
 WS = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -28,8 +27,10 @@ def strip(expr: str) -> str:
 
 
 def chain(select: str, keys: str, steps: list[str]) -> str:
-    """``select`` yields the keys and a text ``t``; each step is an expression on it."""
-    ctes, last = [f"s0 AS ({select})"], 0
+    """``select`` yields the keys and a text ``t``; each step is an expression on it. No
+    text, or a blank one, gives an empty one."""
+    blank = f"t IS NULL OR {strip('t')} = ''"
+    ctes, last = [f"s0 AS (SELECT {keys}, CASE WHEN {blank} THEN '' ELSE t END AS t FROM ({select}))"], 0
     for i, step in enumerate(steps, 1):
         ctes.append(f"s{i} AS MATERIALIZED (SELECT {keys}, {step} AS t FROM s{i - 1})")
         last = i
@@ -54,6 +55,8 @@ def dialogue(customer: str, agent_lines: str, label: str) -> str:
     return f"CASE WHEN len({lines}) > 0 THEN {joined} ELSE {rest} END"
 
 
+# Fixed values, here and below: the words and marks of the patterns.
+
 # -- chat -------------------------------------------------------------------
 
 _BOT = r"bot|csx\s*bot|system|assistant|virtual\s*agent|automated\s*response|chatbot|agent|rep(?:resentative)?"
@@ -283,7 +286,7 @@ GROUP BY taxonomy.intent
 SIDES = f"""
 SELECT 0 AS side, text, CASE lang WHEN 'en' THEN 'track_shipment' WHEN 'de' THEN 'get_eta' WHEN 'fr' THEN 'file_claim' END AS intent,
        source, doc_id AS row_id FROM documents
-UNION ALL SELECT 1, ' ' || text || chr(10), 'general_inquiry', 'synthetic', conv_id * 1000 + turn FROM conversations
+UNION ALL SELECT 1, ' ' || CASE WHEN turn % 5 <> 4 THEN text ELSE chr(9) END || chr(10), 'general_inquiry', 'synthetic', conv_id * 1000 + turn FROM conversations
 UNION ALL SELECT 1, chr(10) || text, 'report_damage', 'synthetic', -doc_id FROM documents
 """
 USABLE = f"""
@@ -295,6 +298,12 @@ merged AS (SELECT text, intent, source FROM usable
 """
 
 
+RELABELLED = f"""
+SELECT text, {LANG_CASE} AS intent, 'documents' AS source FROM documents WHERE {LANG_CASE} IS NOT NULL
+UNION ALL SELECT text, 'general_inquiry', 'conversations' FROM conversations WHERE turn = 0
+"""
+
+
 def steps_table(counts: list[tuple[str, str]]) -> str:
     return " UNION ALL ".join(
         f"SELECT {i} AS position, {lit(name)} AS step, ({count}) AS rows" for i, (name, count) in enumerate(counts)
@@ -307,15 +316,6 @@ FROM documents QUALIFY position <= 3
 """
 
 
-def prompt_sql() -> str:
-    parts = _PROMPT.replace("%d", "%s").split("%s")
-    values = ["'200'", "intent", "'Documents of ' || intent", "min(lang)", "string_agg('- ' || regexp_extract(text, '^[^\\n]*'), chr(10) ORDER BY position)"]
-    pieces = [lit(parts[0])]
-    for value, part in zip(values, parts[1:]):
-        pieces += [value, lit(part)]
-    return f"SELECT intent, {' || '.join(pieces)} AS prompt FROM ({SAMPLES}) GROUP BY intent"
-
-
 CLEAN_EMAILS = emails()
 WORDS = f"len(regexp_extract_all(text, {lit(NWS + '+')}))"
 
@@ -324,14 +324,75 @@ def found(pattern: str, column: str = "w", group: int = 0) -> str:
     return f"array_to_string([regexp_replace(x, {lit(f'[{L}{R}]')}, '', 'g') for x in regexp_extract_all({column}, {lit(pattern)}, {group})], '|')"
 
 
-_MARKED = "regexp_replace(clean_text, '([\\p{L}\\p{N}_]+)', '\ue000\\1\ue001', 'g')"
-_DIGITS = "regexp_replace(regexp_replace(regexp_replace(clean_text, '(\\d+)', '\ue000\\1\ue001', 'g'), '\ue001\\+', '\ue001\ue002', 'g'), '\ue001\\(', '\ue001\ue003', 'g')"
+def marked(column: str) -> str:
+    return f"regexp_replace({column}, '([\\p{{L}}\\p{{N}}_]+)', '\ue000\\1\ue001', 'g')"
+
+
+def marked_digits(column: str) -> str:
+    return (
+        f"regexp_replace(regexp_replace(regexp_replace({column}, '(\\d+)', '\ue000\\1\ue001', 'g'), "
+        "'\ue001\\+', '\ue001\ue002', 'g'), '\ue001\\(', '\ue001\ue003', 'g')"
+    )
+
+
 _PHONES = (
     f"array_to_string([replace(replace(regexp_replace(x, {lit(f'[{L}{R}]')}, '', 'g'), '\ue002', '+'), '\ue003', '(') "
     f"for x in regexp_extract_all(p, {lit(_PHONE)})], '|')"
 )
 _WEIGHT = rf"(?i){L}\d[\d,{L}{R}]*(?:\.{L}\d+)?(?:{R}\s{L})?(?:lbs?|pounds?|kgs?|kilograms?|tons?|tonnes?){R}"
 
+ENTITIES = (
+    f"{found(ADDRESS)} AS emails, {_PHONES} AS phones, {found(WAYBILL)} AS waybills, {found(EQUIPMENT)} AS equipment_ids, "
+    f"{found(ORDER)} AS order_numbers, {found(_WEIGHT)} AS weights"
+)
+SCORED = """
+scored AS (SELECT event_id, CASE WHEN event_type = 'view' THEN -1.0 WHEN event_type <> 'error' THEN value / 20 END AS confidence
+           FROM events)
+"""
+ROUTED = f"""
+WITH {SCORED} SELECT event_id, confidence, CASE WHEN confidence >= 0.85 THEN 'accepted' ELSE 'fallback' END AS route FROM scored
+"""
+MIXED = (
+    f"SELECT 'email' AS channel, 'email ' || msg_id AS text_id, clean_text FROM ({CLEAN_EMAILS}) "
+    f"UNION ALL SELECT 'transcript', 'transcript ' || conv_id || '-' || turn, clean_text FROM ({calls()}) "
+    f"UNION ALL SELECT 'chat', 'chat ' || conv_id || '-' || turn, clean_text FROM ({chats()})"
+)
+
+
+def split_words(column: str) -> str:
+    return f"[w for w in regexp_split_to_array(lower({column}), '[^\\p{{L}}\\p{{N}}_]+') if w <> '']"
+
+
+def naive_bayes(texts: str) -> str:
+    """CTEs that end in ``judged``: ``id, predicted_intent, log_score, confidence`` for
+    the rows ``id, text`` of ``texts``, by counts of the merged training table."""
+    return f"""
+{USABLE},
+lessons AS (SELECT intent, {split_words('text')} AS words FROM merged),
+sizes AS (SELECT intent, count(*) AS n, sum(len(words)) AS size FROM lessons GROUP BY intent),
+counts AS (SELECT word, intent, count(*) AS n FROM (SELECT intent, unnest(words) AS word FROM lessons) GROUP BY ALL),
+constants AS (SELECT (SELECT sum(n) FROM sizes) AS total, (SELECT count(DISTINCT word) FROM counts) AS vocabulary),
+texts AS ({texts}),
+times AS (SELECT id, word, count(*) AS times FROM (SELECT id, unnest({split_words('text')}) AS word FROM texts) GROUP BY ALL),
+seen AS (SELECT * FROM times WHERE word IN (SELECT word FROM counts)),
+lengths AS (SELECT id, sum(times) AS length FROM seen GROUP BY id),
+gains AS (SELECT id, intent, sum(times * ln(1 + n)) AS gain FROM seen JOIN counts USING (word) GROUP BY ALL),
+scores AS (
+    SELECT id, intent, round(coalesce(gain, 0) + ln(n / total) - coalesce(length, 0) * ln(size + vocabulary), 4) AS score
+    FROM (SELECT id FROM texts WHERE text IS NOT NULL) CROSS JOIN sizes CROSS JOIN constants
+    LEFT JOIN lengths USING (id) LEFT JOIN gains USING (id, intent)
+),
+judged AS (
+    SELECT id, intent AS predicted_intent, score AS log_score, 1 / sum(exp(score - top)) OVER (PARTITION BY id) AS confidence
+    FROM (SELECT *, max(score) OVER (PARTITION BY id) AS top FROM scores)
+    QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, intent) = 1
+)"""
+
+
+def json_list(column: str) -> str:
+    return f"CASE WHEN {column} = '' THEN CAST([] AS VARCHAR[]) ELSE string_split({column}, '|') END"
+
+
 SQL = {
     "chat_customer_text": chats(),
     "chat_all_turns": chats(False),
@@ -341,8 +402,7 @@ SQL = {
     "email_ner_friendly": CLEAN_EMAILS,
     "email_strict": emails(mask=True, words=256),
     "email_forward_depth": emails(depth=1),
-    # The built emails hold five blocks at most.
-    "email_forward_unlimited": emails(depth=6),
+    "email_forward_unlimited": emails(depth=inputs.MOST_FORWARDS + 1),
     "email_custom": emails(
         html=False, urls=False, signatures=False, lowercase=True, words=40, extra=("waybill [0-9]+", "urgent")
     ),
@@ -351,13 +411,9 @@ SQL = {
     ),
     "email_html_pages": chain("SELECT page_id, html AS t FROM pages", "page_id", email_steps()),
     "email_documents_strict": chain(
-        "SELECT doc_id, text AS t FROM documents", "doc_id", email_steps(html=False, mask=True, words=256)
-    ),
-    "mixed_channels": (
-        f"SELECT 'email' AS channel, CAST(msg_id AS VARCHAR) AS text_id, clean_text FROM ({CLEAN_EMAILS}) "
-        f"UNION ALL SELECT 'transcript', conv_id || '-' || turn, clean_text FROM ({calls()}) "
-        f"UNION ALL SELECT 'chat', conv_id || '-' || turn, clean_text FROM ({chats()})"
+        "SELECT doc_id, text AS t FROM documents", "doc_id", email_steps(mask=True, words=256)
     ),
+    "mixed_channels": MIXED,
     "relabel_events": f"""
         SELECT event_id, props AS text, {EVENT_CASE} AS intent, 'events' AS source FROM events
         WHERE {EVENT_CASE} IS NOT NULL""",
@@ -380,9 +436,8 @@ SQL = {
         SELECT intent, coalesce(labels, CASE WHEN intent = 'general_inquiry' THEN 'NO MATCH - use out-of-scope rows'
                                              ELSE 'NO MATCH - need synthetic data' END) AS labels, coalesce(n, 0) AS rows
         FROM {TAXONOMY} LEFT JOIN sources ON to_label = intent""",
-    "relabelled_table": f"""
-        SELECT text, {LANG_CASE} AS intent, 'documents' AS source FROM documents WHERE {LANG_CASE} IS NOT NULL
-        UNION ALL SELECT text, 'general_inquiry', 'conversations' FROM conversations WHERE turn = 0""",
+    "relabelled_table": RELABELLED,
+    "relabelled_table_without_key": RELABELLED,
     "relabel_funnel": steps_table(
         [
             ("support", "SELECT count(*) FROM documents"),
@@ -421,7 +476,10 @@ SQL = {
         FROM documents GROUP BY lang""",
     "word_counts": f"SELECT doc_id, {WORDS} AS words FROM documents",
     "samples_per_label": f"SELECT doc_id, text, intent, position FROM ({SAMPLES})",
-    "prompt_rows": prompt_sql(),
+    "prompt_rows": """
+        SELECT source AS intent, '20 messages for ' || source || ' (document ' || doc_id || '), about ' || lang
+               || ', such as:' || chr(10) || '- ' || text || chr(10) || '- ' || lang || chr(10) || 'Each on a line.' AS prompt
+        FROM documents""",
     "reply_lines": f"""
         SELECT doc_id, {strip('line')} AS text, intent, 'synthetic' AS source
         FROM (SELECT doc_id, source AS intent, unnest(string_split(text, chr(10))) AS line FROM documents)
@@ -432,19 +490,32 @@ SQL = {
         SELECT text, source AS intent, CASE lang WHEN 'en' THEN 'train' WHEN 'de' THEN 'validation' ELSE 'test' END AS split
         FROM documents""",
     "entities": f"""
-        WITH marked AS (SELECT msg_id, {_MARKED} AS w, {_DIGITS} AS p FROM ({CLEAN_EMAILS}))
-        SELECT msg_id, {found(ADDRESS)} AS emails, {_PHONES} AS phones, {found(WAYBILL)} AS waybills,
-               {found(EQUIPMENT)} AS equipment_ids, {found(ORDER)} AS order_numbers, {found(_WEIGHT)} AS weights
-        FROM marked""",
+        WITH marked AS (SELECT msg_id, {marked('clean_text')} AS w, {marked_digits('clean_text')} AS p FROM ({CLEAN_EMAILS}))
+        SELECT msg_id, {ENTITIES} FROM marked""",
     "entities_documents": f"""
-        WITH marked AS (SELECT doc_id, {_MARKED.replace('clean_text', 'text')} AS w FROM documents)
-        SELECT doc_id, {found(ADDRESS)} AS emails FROM marked""",
-    "route": """
-        WITH scored AS (SELECT event_id, CASE WHEN event_type <> 'error' THEN value / 20 END AS confidence FROM events)
-        SELECT event_id, confidence, CASE WHEN confidence >= 0.85 THEN 'accepted' ELSE 'fallback' END AS route FROM scored""",
-    "route_column": """
-        WITH scored AS (SELECT event_id, CASE WHEN event_type <> 'error' THEN value / 20 END AS confidence FROM events)
-        SELECT event_id, confidence, CASE WHEN confidence >= 0.85 THEN 'accepted' ELSE 'fallback' END AS route FROM scored""",
+        WITH marked AS (SELECT doc_id, {marked('text')} AS w, {marked_digits('text')} AS p FROM documents)
+        SELECT doc_id, {ENTITIES} FROM marked""",
+    "route": ROUTED,
+    "route_column": ROUTED,
     "interaction_records": f"""
         SELECT CAST(to_json({{'msg_id': msg_id, 'clean_text': clean_text}}) AS VARCHAR) AS record FROM ({CLEAN_EMAILS})""",
+    "intent_baseline": f"""
+        WITH {naive_bayes("SELECT conv_id || '-' || turn AS id, text FROM conversations")}
+        SELECT texts.id AS turn_id, predicted_intent, log_score, round(confidence, 6) AS confidence
+        FROM texts LEFT JOIN judged USING (id)""",
+    "intent_regression": "SELECT count(*) AS rows, count(text) AS scored FROM conversations",
+    "interaction_pipeline": f"""
+        WITH cleaned AS MATERIALIZED ({MIXED}),
+        {naive_bayes('SELECT text_id AS id, clean_text AS text FROM cleaned')},
+        entities AS (SELECT text_id AS id, {ENTITIES}
+                     FROM (SELECT text_id, {marked('clean_text')} AS w, {marked_digits('clean_text')} AS p FROM cleaned))
+        SELECT CAST(to_json({{
+            'id': id, 'channel': channel, 'clean_text': clean_text, 'intent': predicted_intent,
+            'confidence': round(confidence, 6),
+            'route': CASE WHEN confidence >= 0.85 THEN 'accepted' ELSE 'fallback' END,
+            'entities': {{'emails': {json_list('emails')}, 'phones': {json_list('phones')}, 'waybills': {json_list('waybills')},
+                         'equipment_ids': {json_list('equipment_ids')}, 'order_numbers': {json_list('order_numbers')},
+                         'weights': {json_list('weights')}}}
+        }}) AS VARCHAR) AS record
+        FROM (SELECT text_id AS id, channel, clean_text FROM cleaned) JOIN entities USING (id) LEFT JOIN judged USING (id)""",
 }

@@ -11,8 +11,13 @@ from deskline.operators.channels import clean_interactions
 from deskline.operators.chat import clean_chats
 from deskline.operators.email import EmailConfig, clean_emails
 from deskline.operators.transcript import clean_transcripts
-from deskline.plans import synthetic, training
-from deskline.plans.intent_baseline import predict_intents, train_intent_baseline
+from deskline.plans import interactions, synthetic, training
+from deskline.plans.intent_baseline import (
+    predict_intents,
+    predict_naive_bayes,
+    train_intent_baseline,
+    train_naive_bayes,
+)
 from deskline.sources.shared import shared_folder
 from deskline.sources.tables import read_csv, read_labelled, read_splits, write_csv
 
@@ -28,30 +33,21 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def texts(spark: SparkSession, d: str, name: str, *columns: str) -> DataFrame:
-    """A table whose rows are about to be cleaned. Cleaning is work for the CPU, and a
-    file written as one row group is read by one task, so the columns of a scan that
-    would leave cores idle are spread over them; any larger scan stays as it is."""
-    df = table(spark, d, name).select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 # -- text cleaners ----------------------------------------------------------
 
 
 def raw_chats(spark, d):
-    turns = texts(spark, d, "conversations", "conv_id", "turn", "role", "text")
+    turns = table(spark, d, "conversations")
     return turns.select("conv_id", "turn", F.expr(inputs.CHAT).alias("raw_chat"))
 
 
 def raw_transcripts(spark, d):
-    turns = texts(spark, d, "conversations", "conv_id", "turn", "role", "text")
+    turns = table(spark, d, "conversations")
     return turns.select("conv_id", "turn", F.expr(inputs.TRANSCRIPT).alias("raw_transcript"))
 
 
 def raw_emails(spark, d):
-    orders = texts(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    orders = table(spark, d, "orders")
     return orders.select(F.col("o_orderkey").alias("msg_id"), F.expr(inputs.EMAIL).alias("raw_email"))
 
 
@@ -142,28 +138,32 @@ def email_verbatim(spark, d):
 
 @query
 def email_html_pages(spark, d):
-    pages = texts(spark, d, "pages", "page_id", "html")
+    pages = table(spark, d, "pages").select("page_id", "html")
     return clean_emails(pages, "html").select("page_id", "clean_text")
 
 
 @query
 def email_documents_strict(spark, d):
-    documents = texts(spark, d, "documents", "doc_id", "text")
+    documents = table(spark, d, "documents").select("doc_id", "text")
     return clean_emails(documents, "text", config=EmailConfig.strict()).select("doc_id", "clean_text")
 
 
-@query
-def mixed_channels(spark, d):
+def mixed_texts(spark, d):
     def channel(df, name, key, raw):
-        return df.select(F.lit(name).alias("channel"), F.expr(key).alias("text_id"), F.col(raw).alias("raw_text"))
+        text_id = F.concat(F.lit(name + " "), F.expr(key))
+        return df.select(F.lit(name).alias("channel"), text_id.alias("text_id"), F.col(raw).alias("raw_text"))
 
     turn_key = "CAST(conv_id AS STRING) || '-' || CAST(turn AS STRING)"
-    mixed = rows.stack(
+    return rows.stack(
         channel(raw_emails(spark, d), "email", "CAST(msg_id AS STRING)", "raw_email"),
         channel(raw_transcripts(spark, d), "transcript", turn_key, "raw_transcript"),
         channel(raw_chats(spark, d), "chat", turn_key, "raw_chat"),
     )
-    return clean_interactions(mixed).select("channel", "text_id", "clean_text")
+
+
+@query
+def mixed_channels(spark, d):
+    return clean_interactions(mixed_texts(spark, d)).select("channel", "text_id", "clean_text")
 
 
 # -- labels -----------------------------------------------------------------
@@ -237,15 +237,29 @@ def mapping_preview(spark, d):
 
 
 def support_rows(spark, d):
-    return table(spark, d, "documents").select("text", F.col("lang").alias("intent"))
+    return table(spark, d, "documents").select("text", F.col("lang").alias("intent"), F.col("doc_id").alias("row_id"))
 
 
 def scoped_rows(spark, d):
-    return table(spark, d, "conversations").select("text", F.col("turn").cast("int").alias("intent"))
+    return table(spark, d, "conversations").select(
+        "text", F.col("turn").alias("intent"), F.col("conv_id").alias("row_id")
+    )
 
 
 @query
 def relabelled_table(spark, d):
+    return training.build_relabelled_table(
+        support_rows(spark, d),
+        scoped_rows(spark, d),
+        inputs.LANG_LABELS,
+        ("documents", "conversations"),
+        class_id=0,
+        key=["row_id"],
+    )
+
+
+@query
+def relabelled_table_without_key(spark, d):
     return training.build_relabelled_table(
         support_rows(spark, d), scoped_rows(spark, d), inputs.LANG_LABELS, ("documents", "conversations"), class_id=0
     )
@@ -264,8 +278,10 @@ def relabelled_side(spark, d):
 
 
 def synthetic_side(spark, d):
+    # A turn in five is white space only.
+    said = F.when(F.col("turn") % 5 != 4, F.col("text")).otherwise(F.lit("\t"))
     spoken = table(spark, d, "conversations").select(
-        F.concat(F.lit(" "), "text", F.lit("\n")).alias("text"),
+        F.concat(F.lit(" "), said, F.lit("\n")).alias("text"),
         F.lit("general_inquiry").alias("intent"),
         F.lit("synthetic").alias("source"),
         (F.col("conv_id") * 1000 + F.col("turn")).alias("row_id"),
@@ -313,12 +329,12 @@ def seeded_shuffle(spark, d):
 
 @query
 def word_stats(spark, d):
-    return profile.word_stats(texts(spark, d, "documents", "lang", "text"), by=["lang"])
+    return profile.word_stats(table(spark, d, "documents").select("lang", "text"), by=["lang"])
 
 
 @query
 def word_counts(spark, d):
-    return profile.with_word_count(texts(spark, d, "documents", "doc_id", "text")).select("doc_id", "words")
+    return profile.with_word_count(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", "words")
 
 
 @query
@@ -330,19 +346,18 @@ def samples_per_label(spark, d):
 # -- synthetic rows ---------------------------------------------------------
 
 
+PROMPT = "%s messages for %s (%s), about %s, such as:\n%s\nEach on a line."
+
+
 @query
 def prompt_rows(spark, d):
-    first = profile.samples_per_label(
-        table(spark, d, "documents").select("doc_id", "text", "lang", F.col("source").alias("intent")), ["doc_id"]
-    )
-    example = F.struct("position", F.regexp_extract("text", r"\A[^\n]*", 0).alias("line"))
-    # Three samples for each source at most.
-    spec = first.groupBy("intent").agg(
-        F.concat(F.lit("Documents of "), "intent").alias("description"),
-        F.min("lang").alias("entities"),
-        F.transform(F.array_sort(F.collect_list(example)), lambda e: e["line"]).alias("examples"),
+    spec = table(spark, d, "documents").select(
+        F.col("source").alias("intent"),
+        F.concat(F.lit("document "), F.col("doc_id").cast("string")).alias("description"),
+        F.col("lang").alias("entities"),
+        F.array("text", "lang").alias("examples"),
     )
-    return synthetic.prompts(spec)
+    return synthetic.prompts(spec, 20, PROMPT)
 
 
 @query
@@ -385,36 +400,48 @@ def cleaned_emails(spark, d):
     return emails_with(spark, d, EmailConfig.ner_friendly())
 
 
+KINDS = ("emails", "phones", "waybills", "equipment_ids", "order_numbers", "weights")
+
+
+def joined_entities():
+    return [F.array_join(f"entities.{k}", "|").alias(k) for k in KINDS]
+
+
 @query
 def entities(spark, d):
-    found = records.extract_entities(cleaned_emails(spark, d))
-    kinds = ("emails", "phones", "waybills", "equipment_ids", "order_numbers", "weights")
-    return found.select("msg_id", *[F.array_join(f"entities.{k}", "|").alias(k) for k in kinds])
+    return records.extract_entities(cleaned_emails(spark, d)).select("msg_id", *joined_entities())
 
 
 @query
 def entities_documents(spark, d):
-    found = records.extract_entities(texts(spark, d, "documents", "doc_id", "text"), "text")
-    return found.select("doc_id", F.array_join("entities.emails", "|").alias("emails"))
+    documents = table(spark, d, "documents").select("doc_id", "text")
+    return records.extract_entities(documents, "text").select("doc_id", *joined_entities())
+
+
+def scored_events(spark, d):
+    """Events with a confidence, a missing one, or one that is not a number."""
+    confidence = F.when(F.col("event_type") == "view", F.lit(float("nan"))).when(
+        F.col("event_type") != "error", F.col("value") / 20
+    )
+    return table(spark, d, "events").select("event_id", confidence.alias("confidence"))
+
+
+def shown(df):
+    """A confidence that is not a number, as -1."""
+    return df.withColumn("confidence", F.nanvl("confidence", F.lit(-1.0)))
 
 
 @query
 def route(spark, d):
-    scored = table(spark, d, "events").select(
-        "event_id", F.when(F.col("event_type") != "error", F.col("value") / 20).alias("confidence")
-    )
-    accepted, fallback = records.route_by_confidence(scored)
-    return rows.stack(
-        accepted.withColumn("route", F.lit("accepted")), fallback.withColumn("route", F.lit("fallback"))
+    accepted, fallback = records.route_by_confidence(scored_events(spark, d))
+    return shown(
+        rows.stack(accepted.withColumn("route", F.lit("accepted")), fallback.withColumn("route", F.lit("fallback")))
     )
 
 
 @query
 def route_column(spark, d):
-    scored = table(spark, d, "events").select(
-        "event_id", F.when(F.col("event_type") != "error", F.col("value") / 20).alias("confidence")
-    )
-    return records.with_route(scored)
+    return shown(records.with_route(scored_events(spark, d)))
 
 
 @query
@@ -422,10 +449,33 @@ def interaction_records(spark, d):
     return records.to_records(cleaned_emails(spark, d))
 
 
+def intent_model(spark, d):
+    return train_naive_bayes(merged(spark, d))
+
+
+def turns(spark, d):
+    key = F.expr("CAST(conv_id AS STRING) || '-' || CAST(turn AS STRING)")
+    return table(spark, d, "conversations").select(key.alias("turn_id"), "text")
+
+
 @query
 def intent_baseline(spark, d):
-    documents = texts(spark, d, "documents", "doc_id", "text")
-    quality = table(spark, d, "labels").select("doc_id", F.concat(F.lit("quality_"), "quality").alias("intent"))
-    model = train_intent_baseline(documents.join(quality, "doc_id").select("text", "intent"))
-    scored = predict_intents(model, documents)
-    return records.with_route(scored).select("doc_id", "predicted_intent", "confidence", "route")
+    predicted = predict_naive_bayes(intent_model(spark, d), turns(spark, d), "turn_id")
+    return predicted.withColumn("confidence", F.round("confidence", 6))
+
+
+@query
+def intent_regression(spark, d):
+    """Facts that hold for any fit: rows, and rows with a confidence and an intent."""
+    model = train_intent_baseline(merged(spark, d), features=1 << 12, iterations=5)
+    scored = predict_intents(model, turns(spark, d))
+    sure = F.col("confidence").between(1e-9, 1) & F.col("predicted_intent").isin(list(labels.INTENTS))
+    return scored.agg(F.count("*").alias("rows"), F.count_if(sure).alias("scored"))
+
+
+@query
+def interaction_pipeline(spark, d):
+    """Cleaner by channel, entities, intent, route, and one JSON record for each text."""
+    return interactions.process_interactions(
+        mixed_texts(spark, d), intent_model(spark, d), "text_id", channel_col="channel", in_col="raw_text"
+    )

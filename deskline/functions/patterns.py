@@ -137,6 +137,15 @@ FIRST_FORWARD = (
     + rf"\A([^-]*+(?:(?!{_FORWARD_HEAD})-++[^-]*+)*+){_FORWARD_HEAD}.*?(?=\n\n|---|\z)"
 )
 
+# Forwarded blocks one after the other, up to one before which an open stretch stands: a
+# dash, and then only letters and white space. A head that begins further back would have
+# to reach over a stretch that holds something else.
+_STRETCH = rf"(?!{_FORWARD_HEAD})-++[\s\x1c-\x1f\p{{L}}]*+"
+_CLOSED = rf"{_STRETCH}[^\-\s\x1c-\x1f\p{{L}}][^-]*+"
+FORWARDS_APART = (
+    "(?isUd)" + rf"\G([^-]*+(?:(?:{_STRETCH}(?=-))*+{_CLOSED})*+){_FORWARD_HEAD}.*?(?=\n\n|---|\z)"
+)
+
 REPLY_HEADER = ANYCASE_LINES + rf"^On{S}[^\n]{{5,100}}(?:wrote|said){S}*+:[^\n]*+"
 HEADER_LINE = ANYCASE_LINES + (
     rf"^(?:From|To|Cc|Bcc|Subject|Date|Sent|Reply-To|Message-ID){S}*+:[^\n]*+"

@@ -55,8 +55,9 @@ def is_ascii(text: Column) -> Column:
 
 def may_contain_any(text: Column, needles: tuple[str, ...]) -> Column:
     """False only if the text holds none of the needles, lower-case ASCII words, in any
-    case. Other characters may fold to ASCII ones, so a text with any is let through."""
-    return ~is_ascii(text) | let(F.lower(text), lambda lowered: contains_any(lowered, needles))
+    case. Beside the letters themselves, four characters fold to ASCII ones."""
+    folded = F.lower(F.translate(text, "\u0130\u0131\u017f\u212a", "iisk"))
+    return let(folded, lambda lowered: contains_any(lowered, needles))
 
 
 def strip(text: Column) -> Column:
@@ -106,6 +107,9 @@ def remove_forwards(text: Column, limit: int) -> Column:
             text = remove_first(text)
         return text
 
+    def remove_next(t: Column) -> Column:
+        return remove_first(t) if limit else remove_first(remove_apart(t))
+
     def remove_many(t: Column) -> Column:
         dashes = F.octet_length(t) - F.octet_length(F.replace(t, F.lit("-")))
         rounds = F.floor(dashes / _DASHES_PER_BLOCK)
@@ -116,7 +120,7 @@ def remove_forwards(text: Column, limit: int) -> Column:
             return F.when(
                 state["live"],
                 let(
-                    remove_first(state["text"]),
+                    remove_next(state["text"]),
                     lambda left: F.struct(left.alias("text"), (left != state["text"]).alias("live")),
                 ),
             ).otherwise(state)
@@ -131,6 +135,12 @@ def remove_forwards(text: Column, limit: int) -> Column:
     return let(text, remove_many)
 
 
+def remove_apart(text: Column) -> Column:
+    """Remove forwarded blocks in one pass, from the first one on up to one whose
+    removal may join its surroundings into a new block."""
+    return replace_all(text, p.FORWARDS_APART, "$1")
+
+
 def count_words(text: Column) -> Column:
     """Number of whitespace-separated words; 0 for an empty text."""
     return F.regexp_count(text, F.lit(p.WORD))

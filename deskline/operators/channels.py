@@ -30,6 +30,7 @@ def clean_interactions(
     a row runs only its own.
     """
     config = email_config or EmailConfig()
+    config.check_patterns(df.sparkSession)
     frame = Projection(df)
     channel = F.col(f"`{channel_col}`")
     raw = input_text(df, in_col)

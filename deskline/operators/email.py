@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import IllegalArgumentException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskline.functions import patterns as p
@@ -23,6 +24,9 @@ from deskline.functions.text import (
 from deskline.functions.unicode import unescape_html
 from deskline.operators.cleaning import Projection, input_text, normalize, unless_blank
 
+# Any case, Unicode classes, and \n as the only line end.
+_EXTRA_FLAGS = "(?iUd)"
+
 
 @dataclass(frozen=True)
 class EmailConfig:
@@ -31,7 +35,9 @@ class EmailConfig:
 
     ``max_chain_depth`` is the number of forwarded blocks removed, 0 for all of
     them. ``max_length`` is a number of words, 0 or None for no limit.
-    ``extra_removal_patterns`` are Java regular expressions, matched in any case.
+    ``extra_removal_patterns`` are Java regular expressions, matched in any case; ``\\s``,
+    ``\\d`` and ``\\w`` are Unicode's, and only ``\\n`` ends a line. A bad pattern is
+    refused where a session is active, else when the cleaner is applied.
     """
 
     strip_forwarded_headers: bool = True
@@ -56,6 +62,16 @@ class EmailConfig:
             raise ValueError("max_chain_depth must be 0 (no limit) or more")
         if self.max_length is not None and self.max_length < 0:
             raise ValueError("max_length must be None or 0 (no limit) or more")
+        if SparkSession.getActiveSession() is not None:
+            self.check_patterns(SparkSession.getActiveSession())
+
+    def check_patterns(self, spark: SparkSession) -> None:
+        """Refuse a pattern that Java cannot compile."""
+        for pattern in self.extra_removal_patterns:
+            try:
+                spark.sparkContext._jvm.java.util.regex.Pattern.compile(_EXTRA_FLAGS + pattern)
+            except IllegalArgumentException as error:
+                raise ValueError(f"bad pattern {pattern!r}: {error}") from None
 
     @classmethod
     def ner_friendly(cls) -> EmailConfig:
@@ -148,7 +164,7 @@ def email_body(text: Column, config: EmailConfig) -> Column:
         text = strip_signature(text)
     text = mask_identifiers(text, config)
     for pattern in config.extra_removal_patterns:
-        text = replace_all(text, "(?iu)" + pattern)
+        text = replace_all(text, _EXTRA_FLAGS + pattern)
     if config.normalize_whitespace:
         text = collapse_whitespace(text)
     if config.lowercase:
@@ -166,6 +182,7 @@ def clean_emails(
     A narrow projection: no shuffle, and rows keep their other columns.
     """
     config = config or EmailConfig()
+    config.check_patterns(df.sparkSession)
     frame = Projection(df)
     text = decoded_email(input_text(df, in_col), config)
     text = normalize(frame, text) if config.normalize_unicode else normalize_newlines(text)

@@ -1,9 +1,9 @@
 """Labels: renaming, selection, counts and coverage.
 
-Mappings and taxonomies are written by hand and passed as Python collections of
-at most ``MAX_LABELS`` entries; that bound is checked before they are broadcast.
-Labelled tables may be of any size and any one label may hold most of their rows:
-every count is aggregated before it is shuffled.
+A mapping or taxonomy is a Python collection or a table, of any size: a collection
+becomes a local table, whose size Spark knows, so it is broadcast below Spark's threshold
+and shuffled above it. Labelled tables may be of any size and any one label may hold most
+of their rows: every count is aggregated before it is shuffled.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_LABELS = 10_000
+from deskline.functions.names import unused
 
 # The thirteen intents of the training table (fixed values).
 INTENTS = (
@@ -50,51 +50,62 @@ OUT_OF_SCOPE_CLASS = 42
 OUT_OF_SCOPE_INTENT = "general_inquiry"
 
 NO_MATCH = "NO MATCH"
-LONGEST_BAR = 10_000
 
 
 def _checked(labels: Iterable[str]) -> list[str]:
     labels = list(dict.fromkeys(labels))
     if not labels:
         raise ValueError("at least one label is needed")
-    if len(labels) > MAX_LABELS:
-        raise ValueError(f"{len(labels)} labels are more than {MAX_LABELS}")
     return labels
 
 
-def mapping_table(spark: SparkSession, mapping: Mapping[str, str]) -> DataFrame:
-    """A label mapping as a small table ``from_label, to_label``."""
+def mapping_table(spark: SparkSession, mapping: Mapping[str, str] | DataFrame) -> DataFrame:
+    """A label mapping as a table ``from_label, to_label``. A mapping that is a table has
+    these columns, and each ``from_label`` once."""
+    if isinstance(mapping, DataFrame):
+        return mapping.select("from_label", "to_label")
     labels = _checked(mapping)
     return spark.createDataFrame(
         pa.table({"from_label": labels, "to_label": [mapping[label] for label in labels]})
     )
 
 
-def taxonomy_table(spark: SparkSession, intents: Iterable[str] = INTENTS) -> DataFrame:
-    """A taxonomy as a small table ``intent``."""
+def taxonomy_table(spark: SparkSession, intents: Iterable[str] | DataFrame = INTENTS) -> DataFrame:
+    """A taxonomy as a table ``intent``. A taxonomy that is a table has this column."""
+    if isinstance(intents, DataFrame):
+        return intents.select("intent").distinct()
     return spark.createDataFrame(pa.table({"intent": _checked(intents)}))
 
 
-def relabel(df: DataFrame, mapping: Mapping[str, str], source: str, label_col: str = "intent") -> DataFrame:
+def _mapped(df: DataFrame, mapping: Mapping[str, str] | DataFrame, label_col: str, how: str) -> DataFrame:
+    """``df`` with its labels renamed; the names of the mapping's columns are not in it."""
+    old, new = unused("from_label", df), unused("to_label", df)
+    table = mapping_table(df.sparkSession, mapping).toDF(old, new)
+    joined = df.join(table, F.col(f"`{label_col}`") == F.col(old), how)
+    return joined.withColumn(label_col, F.col(new)).drop(old, new)
+
+
+def _among(df: DataFrame, labels: Iterable[str] | DataFrame, label_col: str) -> DataFrame:
+    """The rows whose label is in a collection, a filter that reaches the scan. For a
+    table all rows: it is joined later."""
+    if isinstance(labels, DataFrame):
+        return df
+    return df.filter(F.col(f"`{label_col}`").isin(list(labels)))
+
+
+def relabel(
+    df: DataFrame, mapping: Mapping[str, str] | DataFrame, source: str, label_col: str = "intent"
+) -> DataFrame:
     """Keep the rows whose label is in the mapping, rename the label and note the
     source."""
-    table = mapping_table(df.sparkSession, mapping)
-    label = F.col(f"`{label_col}`")
-    kept = df.filter(label.isin(list(mapping)))
-    joined = kept.join(F.broadcast(table), label == F.col("from_label"))
-    return (
-        joined.withColumn(label_col, F.col("to_label"))
-        .withColumn("source", F.lit(source))
-        .drop("from_label", "to_label")
-    )
+    kept = _among(df, mapping, label_col)
+    return _mapped(kept, mapping, label_col, "inner").withColumn("source", F.lit(source))
 
 
-def rename_labels(df: DataFrame, mapping: Mapping[str, str], label_col: str = "intent") -> DataFrame:
+def rename_labels(df: DataFrame, mapping: Mapping[str, str] | DataFrame, label_col: str = "intent") -> DataFrame:
     """Rename labels and keep all rows; a label that is not in the mapping becomes
     null."""
-    table = mapping_table(df.sparkSession, mapping)
-    joined = df.join(F.broadcast(table), F.col(f"`{label_col}`") == F.col("from_label"), "left")
-    return joined.withColumn(label_col, F.col("to_label")).drop("from_label", "to_label")
+    return _mapped(df, mapping, label_col, "left")
 
 
 def extract_out_of_scope(
@@ -131,14 +142,16 @@ def count_distinct_labels(df: DataFrame, label_col: str = "intent") -> DataFrame
     )
 
 
-def taxonomy_coverage(df: DataFrame, intents: Iterable[str] = INTENTS, label_col: str = "intent") -> DataFrame:
+def taxonomy_coverage(
+    df: DataFrame, intents: Iterable[str] | DataFrame = INTENTS, label_col: str = "intent"
+) -> DataFrame:
     """Rows per intent of the taxonomy, 0 for those that have none; other labels are
     left out."""
-    intents = _checked(intents)
-    label = F.col(f"`{label_col}`")
+    if not isinstance(intents, DataFrame):
+        intents = _checked(intents)
     counts = (
-        df.filter(label.isin(intents))
-        .groupBy(label.alias("intent"))
+        _among(df, intents, label_col)
+        .groupBy(F.col(f"`{label_col}`").alias("intent"))
         .agg(F.count("*").alias("rows"))
     )
     return (
@@ -148,17 +161,16 @@ def taxonomy_coverage(df: DataFrame, intents: Iterable[str] = INTENTS, label_col
     )
 
 
-def missing_intents(df: DataFrame, intents: Iterable[str] = INTENTS, label_col: str = "intent") -> DataFrame:
+def missing_intents(
+    df: DataFrame, intents: Iterable[str] | DataFrame = INTENTS, label_col: str = "intent"
+) -> DataFrame:
     """The intents of the taxonomy that have no row at all."""
     return taxonomy_coverage(df, intents, label_col).filter(F.col("rows") == 0).select("intent")
 
 
 def histogram_bar(rows: Column, rows_per_block: int) -> Column:
-    """One block for every ``rows_per_block`` rows. A bar too long to look at is written
-    as ``█ × n``, so that it stays small for counts of any size."""
-    blocks = F.floor(rows / rows_per_block)
-    short = F.repeat(F.lit("█"), F.least(blocks, F.lit(LONGEST_BAR)).cast("int"))
-    return F.when(blocks <= LONGEST_BAR, short).otherwise(F.concat(F.lit("█ × "), blocks))
+    """One block for every ``rows_per_block`` rows."""
+    return F.repeat(F.lit("█"), F.floor(rows / rows_per_block).cast("int"))
 
 
 def label_histogram(df: DataFrame, rows_per_block: int, label_col: str = "intent") -> DataFrame:
@@ -168,8 +180,8 @@ def label_histogram(df: DataFrame, rows_per_block: int, label_col: str = "intent
 
 def mapping_preview(
     df: DataFrame,
-    mapping: Mapping[str, str],
-    intents: Iterable[str] = INTENTS,
+    mapping: Mapping[str, str] | DataFrame,
+    intents: Iterable[str] | DataFrame = INTENTS,
     out_of_scope: str = OUT_OF_SCOPE_INTENT,
     label_col: str = "intent",
 ) -> DataFrame:
@@ -177,11 +189,11 @@ def mapping_preview(
     note, and the rows those labels hold in ``df``."""
     spark = df.sparkSession
     counts = (
-        df.filter(F.col(f"`{label_col}`").isin(list(mapping)))
+        _among(df, mapping, label_col)
         .groupBy(F.col(f"`{label_col}`").alias("from_label"))
         .agg(F.count("*").alias("label_rows"))
     )
-    # At most MAX_LABELS rows from here on.
+    # From here on, no more rows than the mapping has.
     sources = (
         mapping_table(spark, mapping)
         .join(counts, "from_label", "left")

@@ -38,25 +38,29 @@ def extract_entities(df: DataFrame, in_col: str = "clean_text", out_col: str = "
     return Projection(df).result(out_col, found_entities(input_text(df, in_col)))
 
 
+def _confident(threshold: float, confidence_col: str) -> Column:
+    """False for a missing confidence and for NaN, which Spark sorts above all numbers."""
+    confidence = F.col(f"`{confidence_col}`")
+    return F.coalesce(~F.isnan(confidence) & (confidence >= threshold), F.lit(False))
+
+
 def with_route(
     df: DataFrame, threshold: float = FALLBACK_THRESHOLD, confidence_col: str = "confidence", out_col: str = "route"
 ) -> DataFrame:
     """Add ``accepted`` or, below the threshold or without a confidence, ``fallback``."""
-    confident = F.col(f"`{confidence_col}`") >= threshold
-    return df.withColumn(out_col, F.when(confident, F.lit("accepted")).otherwise(F.lit("fallback")))
+    route = F.when(_confident(threshold, confidence_col), F.lit("accepted")).otherwise(F.lit("fallback"))
+    return df.withColumn(out_col, route)
 
 
 def route_by_confidence(
     df: DataFrame, threshold: float = FALLBACK_THRESHOLD, confidence_col: str = "confidence"
 ) -> tuple[DataFrame, DataFrame]:
-    """The accepted rows and the rows for the fallback."""
-    confidence = F.col(f"`{confidence_col}`")
-    return (
-        df.filter(confidence >= threshold),
-        df.filter(confidence.isNull() | (confidence < threshold)),
-    )
+    """The accepted rows, and all others for the fallback."""
+    accepted = _confident(threshold, confidence_col)
+    return df.filter(accepted), df.filter(~accepted)
 
 
 def to_records(df: DataFrame, out_col: str = "record") -> DataFrame:
-    """One JSON object for each row, null fields left out."""
-    return df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias(out_col))
+    """One JSON object for each row with all its fields, null ones as ``null``."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.select(F.to_json(row, {"ignoreNullFields": "false"}).alias(out_col))

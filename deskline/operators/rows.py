@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from deskline.functions.names import unused
+
 # Copies of a row that one task writes out in a row.
 _COPIES_PER_TASK = 100_000
 
@@ -22,17 +24,21 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
     smallest other columns.
 
     The first row of a key is an aggregate, so all but one of its copies are gone
-    before the shuffle, however many there are.
+    before the shuffle, however many there are. The smallest struct is no hash
+    aggregate: rows are sorted by key once before and once after the shuffle.
     """
-    rest = [c for c in df.columns if c not in keys]
-    rank = [F.col(c) if isinstance(c, str) else c for c in order]
-    ordered = [r.alias(f"_order{i}") for i, r in enumerate(rank)]
-    first = F.min(F.struct(*ordered, *[F.col(f"`{c}`") for c in rest])).alias("_first")
+    # One struct, ordered from its first field on, with each column in it once.
+    ranked = [c for c in order if isinstance(c, str) and c in df.columns]
+    rest = [c for c in df.columns if c not in keys and c not in ranked]
+    fields = [F.col(f"`{c}`") if isinstance(c, str) else c for c in [*order, *rest]]
+    place = {c: f"f{i}" for i, c in enumerate([*order, *rest]) if isinstance(c, str)}
+    first = F.min(F.struct(*[f.alias(f"f{i}") for i, f in enumerate(fields)]))
     by = [F.col(f"`{c}`") for c in keys]
+    hashed, found = unused("hash", df), unused("first", df)
     # Sorting by a hash first spares most comparisons of long texts.
-    grouped = df.groupBy(F.xxhash64(*by).alias("_hash"), *by).agg(first)
+    grouped = df.groupBy(F.xxhash64(*by).alias(hashed), *by).agg(first.alias(found))
     return grouped.select(
-        *[F.col(f"`{c}`") if c in keys else F.col("_first").getField(c).alias(c) for c in df.columns]
+        *[F.col(f"`{c}`") if c in keys else F.col(found).getField(place[c]).alias(c) for c in df.columns]
     )
 
 
@@ -48,20 +54,21 @@ def seeded_shuffle(df: DataFrame, seed: int = 42, key: Sequence[str] | None = No
         order = [F.col(f"`{c}`") for c in key]
         return df.orderBy(F.xxhash64(F.lit(seed), *order), *order)
     columns = [F.col(f"`{c}`") for c in df.columns]
+    copies, chunk, copy = (unused(name, df) for name in ("copies", "chunk", "copy"))
     per_task = F.lit(_COPIES_PER_TASK)
-    last_chunk = F.expr(f"(_copies - 1) div {_COPIES_PER_TASK}")
+    last_chunk = F.expr(f"({copies} - 1) div {_COPIES_PER_TASK}")
     chunks = (
         df.groupBy(*columns)
-        .agg(F.count("*").alias("_copies"))
-        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias("_chunk"))
+        .agg(F.count("*").alias(copies))
+        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias(chunk))
     )
     # Only chunks of often repeated rows have to be moved apart; a fixed number of
     # partitions, since a chunk is small until it is written out.
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    often = chunks.filter(F.col("_copies") > per_task).repartition(partitions, *columns, "_chunk")
-    chunks = chunks.filter(F.col("_copies") <= per_task).union(often)
-    first = F.col("_chunk") * per_task + 1
-    last = F.least(F.col("_copies"), first + per_task - 1)
-    rows = chunks.select(*columns, F.explode(F.sequence(first, last)).alias("_copy"))
-    order = F.xxhash64(F.lit(seed), *columns, F.col("_copy"))
-    return rows.orderBy(order, *columns, "_copy").drop("_copy")
+    often = chunks.filter(F.col(copies) > per_task).repartition(partitions, *columns, chunk)
+    chunks = chunks.filter(F.col(copies) <= per_task).union(often)
+    first = F.col(chunk) * per_task + 1
+    last = F.least(F.col(copies), first + per_task - 1)
+    rows = chunks.select(*columns, F.explode(F.sequence(first, last)).alias(copy))
+    order = F.xxhash64(F.lit(seed), *columns, F.col(copy))
+    return rows.orderBy(order, *columns, copy).drop(copy)

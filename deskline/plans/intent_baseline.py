@@ -1,40 +1,144 @@
-"""An intent classifier on a labelled table, with a confidence for routing."""
+"""Intent classifiers on a labelled table, with a confidence for routing.
+
+Naive Bayes is two grouped counts and a join, so a vocabulary of any size stays a table;
+only a number of each intent is gathered. The regression gathers sums of a size set by
+its features and intents.
+"""
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF, IndexToString, RegexTokenizer, StringIndexer
+from pyspark.ml.feature import IDF, HashingTF, IndexToString, RegexTokenizer, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from deskline.functions import patterns as p
+from deskline.operators.labels import INTENTS
+
+_NOT_WORD = r"[^\p{L}\p{N}_]+"
+
+
+def _usable(training: DataFrame) -> DataFrame:
+    """Rows that the merge would keep: neither text nor intent is missing."""
+    return training.filter(F.col("text").isNotNull() & F.col("intent").isNotNull() & F.col("text").rlike(p.HAS_TEXT))
+
+
+# -- naive Bayes -----------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class NaiveBayes:
+    """``intents``: (intent, its rows, its words in all), no more than the taxonomy has.
+    ``counts``: a table ``word, intent, n``. ``vocabulary``: how many words differ."""
+
+    intents: tuple[tuple[str, int, int], ...]
+    counts: DataFrame
+    vocabulary: int
+
+
+def _words(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), _NOT_WORD), lambda w: w != "")
+
+
+def train_naive_bayes(training: DataFrame, intents: Sequence[str] = INTENTS) -> NaiveBayes:
+    """Count ``text, intent``: rows and words of each intent, and each word in it. Rows of
+    intents that are not in the taxonomy, or without text, teach nothing."""
+    rows = _usable(training).filter(F.col("intent").isin(list(intents))).select("intent", _words(F.col("text")).alias("words"))
+    found = rows.groupBy("intent").agg(F.count("*").alias("rows"), F.sum(F.size("words")).alias("words"))
+    counts = (
+        rows.select("intent", F.explode("words").alias("word")).groupBy("word", "intent").agg(F.count("*").alias("n"))
+    )
+    vocabulary = counts.agg(F.count_distinct("word").alias("n")).first().n
+    return NaiveBayes(tuple(sorted((r.intent, r.rows, r.words) for r in found.collect())), counts, vocabulary)
+
+
+def predict_naive_bayes(model: NaiveBayes, df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+    """``key``, ``predicted_intent``, ``log_score`` and ``confidence`` for each row of
+    ``df``; ``key`` tells its rows apart, and a row without one is left out.
+
+    A text's score for an intent is the logarithm of the intent's share of the rows plus,
+    for each word of the text that the training table has, that of the word's share of
+    the intent's words, with one added to each count; it has four places. Of equal scores
+    the smallest intent wins; the confidence is its share of all intents' probabilities.
+    A text with none of the words gets the intent with most rows; null texts, and a model
+    of no rows, give neither intent nor confidence.
+
+    The words of the texts join their counts. For words that an intent has not got, only
+    their number matters.
+    """
+    text, id_col = F.col(f"`{text_col}`"), "id"
+    ids = df.select(F.col(f"`{key}`").alias(id_col), text.alias("text")).filter(F.col(id_col).isNotNull())
+    words = ids.select(id_col, F.explode(_words(F.col("text"))).alias("word"))
+    times = words.groupBy(id_col, "word").agg(F.count("*").alias("times"))
+    # A word's counts: a row with one entry for each intent at most.
+    known = model.counts.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("intent", "n"))).alias("n"))
+    gains = [
+        F.sum(F.col("times") * F.log1p(F.coalesce(F.col("n")[intent], F.lit(0)).cast("double"))).alias(f"gain{i}")
+        for i, (intent, _, _) in enumerate(model.intents)
+    ]
+    seen = times.join(known, "word").groupBy(id_col).agg(F.sum("times").alias("length"), *gains)
+    scored = ids.select(id_col, F.col("text").isNotNull().alias("given")).join(seen, id_col, "left")
+    total = sum(rows for _, rows, _ in model.intents)
+
+    def score(i: int, rows: int, size: int) -> Column:
+        gain = F.coalesce(F.col(f"gain{i}"), F.lit(0.0))
+        return F.round(gain + math.log(rows / total) - F.coalesce("length", F.lit(0)) * math.log(size + model.vocabulary), 4)
+
+    scores = [
+        F.struct((-score(i, rows, size)).alias("cost"), F.lit(intent).alias("intent"))
+        for i, (intent, rows, size) in enumerate(model.intents)
+    ]
+    kind = "array<struct<cost:double,intent:string>>"
+    scored = scored.select(id_col, "given", (F.array(*scores) if scores else F.array().cast(kind)).alias("scores"))
+    best = F.array_min("scores")
+    odds = F.aggregate("scores", F.lit(0.0), lambda held, x: held + F.exp(F.col("best.cost") - x["cost"]))
+    judged = scored.withColumn("best", F.when(F.col("given"), best))
+    return judged.select(
+        F.col(id_col).alias(key),
+        F.col("best.intent").alias("predicted_intent"),
+        (-F.col("best.cost")).alias("log_score"),
+        F.when(F.col("best").isNotNull(), 1 / odds).alias("confidence"),
+    )
+
+
+# -- regression ------------------------------------------------------------------
+
 
-def train_intent_baseline(training: DataFrame, features: int = 1 << 14, iterations: int = 20) -> PipelineModel:
-    """Fit a bag-of-words logistic regression on ``text, intent``. Only sums over the
-    rows travel to the driver, of a size set by ``features`` and the intents."""
-    labels = StringIndexer(inputCol="intent", outputCol="_label").fit(training)
+def train_intent_baseline(
+    training: DataFrame, intents: tuple[str, ...] = INTENTS, features: int = 1 << 14, iterations: int = 20
+) -> PipelineModel:
+    """Fit a bag-of-words logistic regression on ``text, intent``, for the intents of a
+    taxonomy: rows of other intents, and without text or intent, teach nothing. Only sums
+    over the rows travel to the driver, of a size set by ``features`` and ``intents``."""
+    rows = _usable(training).filter(F.col("intent").isin(list(intents))).select("text", "intent")
+    labels = StringIndexerModel.from_labels(list(intents), inputCol="intent", outputCol="label")
     stages = [
         labels,
-        RegexTokenizer(inputCol="text", outputCol="_words", pattern=r"[^\p{L}\p{N}_]+"),
-        HashingTF(inputCol="_words", outputCol="_counts", numFeatures=features),
-        IDF(inputCol="_counts", outputCol="_features"),
-        LogisticRegression(
-            featuresCol="_features",
-            labelCol="_label",
-            probabilityCol="_probability",
-            rawPredictionCol="_raw",
-            predictionCol="_prediction",
-            maxIter=iterations,
-            regParam=0.01,
-        ),
-        IndexToString(inputCol="_prediction", outputCol="predicted_intent", labels=labels.labels),
+        RegexTokenizer(inputCol="text", outputCol="words", pattern=_NOT_WORD),
+        HashingTF(inputCol="words", outputCol="counts", numFeatures=features),
+        IDF(inputCol="counts", outputCol="features"),
+        LogisticRegression(maxIter=iterations, regParam=0.01),
+        IndexToString(inputCol="prediction", outputCol="predicted_intent", labels=list(intents)),
     ]
-    return Pipeline(stages=stages).fit(training)
+    return Pipeline(stages=stages).fit(rows)
 
 
-def predict_intents(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Add ``predicted_intent`` and its probability as ``confidence``."""
-    scored = model.transform(df)
-    confidence = F.array_max(vector_to_array("_probability"))
-    return scored.select(*[F.col(f"`{c}`") for c in df.columns], "predicted_intent", confidence.alias("confidence"))
+def predict_intents(model: PipelineModel, df: DataFrame, text_col: str = "text") -> DataFrame:
+    """Add ``predicted_intent`` and its probability as ``confidence``; both null for a
+    null text."""
+    text = F.col(f"`{text_col}`")
+    # The model sees the text alone, so no column of df can meet one of its own.
+    rows = df.select(F.struct("*").alias("row"), F.coalesce(text, F.lit("")).alias("text"), F.lit(model.stages[0].labels[0]).alias("intent"))
+    scored = model.transform(rows)
+    known = F.col(f"row.`{text_col}`").isNotNull()
+    return scored.select(
+        *[F.col(f"row.`{c}`") for c in df.columns],
+        F.when(known, F.col("predicted_intent")).alias("predicted_intent"),
+        F.when(known, F.array_max(vector_to_array("probability"))).alias("confidence"),
+    )

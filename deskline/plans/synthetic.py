@@ -11,25 +11,24 @@ ROWS_PER_INTENT = 200
 # Replies are split into lines; a message is longer than this (fixed value).
 SHORTEST_MESSAGE = 10
 
-_PROMPT = """Write exactly %d different customer messages to a freight railroad, all with the intent "%s".
+# The five things a prompt says, one to a line; a caller may pass wording of their own.
+PROMPT = """rows: %s
+intent: %s
+meaning: %s
+entities: %s
+examples:
+%s"""
 
-Meaning of the intent: %s
-Details customers often mention: %s
 
-Examples of such messages:
-%s
+def prompts(spec: DataFrame, rows_per_intent: int = ROWS_PER_INTENT, template: str = PROMPT) -> DataFrame:
+    """One prompt for each row of ``intent, description, entities, examples array<string>``.
 
-Use three styles in equal parts (formal email, casual chat, spoken transcript), vary cities, weights, cargo \
-and dates, and use the words of the trade. Write one message per line and nothing else."""
-
-
-def prompts(spec: DataFrame, rows_per_intent: int = ROWS_PER_INTENT) -> DataFrame:
-    """One prompt for each row of ``intent, description, entities, examples array<string>``."""
+    The template has five ``%s``, for the number of rows, the intent, its description,
+    its entities and its examples, each of these on a line that begins with a dash.
+    """
     bullets = F.array_join(F.transform("examples", lambda e: F.concat(F.lit("- "), e)), "\n")
-    prompt = F.format_string(
-        _PROMPT, F.lit(rows_per_intent), "intent", "description", "entities", bullets
-    )
-    return spec.select("intent", prompt.alias("prompt"))
+    fields = (F.lit(str(rows_per_intent)), "intent", "description", "entities", bullets)
+    return spec.select("intent", F.format_string(template, *fields).alias("prompt"))
 
 
 def messages(replies: DataFrame, source: str = "synthetic") -> DataFrame:

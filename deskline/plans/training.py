@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskline.functions import patterns as p
+from deskline.functions.names import unused
 from deskline.functions.text import strip
 from deskline.operators.labels import (
     INTENTS,
@@ -29,7 +30,7 @@ SEED = 42
 def build_relabelled_table(
     support: DataFrame,
     scoped: DataFrame,
-    mapping: Mapping[str, str] = SUPPORT_LABELS,
+    mapping: Mapping[str, str] | DataFrame = SUPPORT_LABELS,
     sources: tuple[str, str] = ("support", "scope"),
     class_id: int = OUT_OF_SCOPE_CLASS,
     to_label: str = OUT_OF_SCOPE_INTENT,
@@ -53,12 +54,20 @@ def build_relabelled_table(
 
 
 def relabel_funnel(
-    support: DataFrame, scoped: DataFrame, mapping: Mapping[str, str] = SUPPORT_LABELS, class_id: int = OUT_OF_SCOPE_CLASS
+    support: DataFrame, scoped: DataFrame, mapping: Mapping[str, str] | DataFrame = SUPPORT_LABELS, class_id: int = OUT_OF_SCOPE_CLASS
 ) -> DataFrame:
     """Rows before and after each step of the relabelling, from one pass over each
     table."""
-    kept = F.count_if(F.col("intent").isin(list(mapping)))
-    of_support = support.agg(F.count("*").alias("support"), kept.alias("support_kept"))
+    if isinstance(mapping, DataFrame):
+        # Counts of labels are few rows to join.
+        counts = support.groupBy("intent").agg(F.count("*").alias("n")).join(
+            mapping.select(F.col("from_label").alias("intent"), F.lit(True).alias("known")), "intent", "left"
+        )
+        total = lambda column: F.coalesce(F.sum(column), F.lit(0))
+        of_support = counts.agg(total("n").alias("support"), total(F.when(F.col("known"), F.col("n"))).alias("support_kept"))
+    else:
+        kept = F.count_if(F.col("intent").isin(list(mapping)))
+        of_support = support.agg(F.count("*").alias("support"), kept.alias("support_kept"))
     out_of_scope = F.count_if(F.col("intent") == class_id)
     of_scoped = scoped.agg(F.count("*").alias("scoped"), out_of_scope.alias("scoped_kept"))
     sides = stack(of_support, of_scoped).agg(
@@ -68,8 +77,11 @@ def relabel_funnel(
     return funnel(counts, ["support", "support_kept", "scoped", "scoped_kept", "combined"])
 
 
-def _stacked(relabelled: DataFrame, synthetic: DataFrame) -> DataFrame:
-    return stack(relabelled.withColumn("_side", F.lit(0)), synthetic.withColumn("_side", F.lit(1)))
+def _stacked(relabelled: DataFrame, synthetic: DataFrame) -> tuple[DataFrame, str]:
+    """Both tables, and the name of the column that is 0 for the first and 1 for the
+    other."""
+    side = unused("side", relabelled, synthetic)
+    return stack(relabelled.withColumn(side, F.lit(0)), synthetic.withColumn(side, F.lit(1))), side
 
 
 def _usable() -> Column:
@@ -87,24 +99,27 @@ def build_training_table(
     synthetic ones, and within a table ``order``, columns both have, decides. Without
     it the smallest intent and source win, since a table has no order of its own.
     """
-    usable = _stacked(relabelled, synthetic).filter(_usable()).withColumn("text", strip(F.col("text")))
-    ranked = usable.select(*COLUMNS, "_side", *[c for c in order if c not in COLUMNS])
-    unique = keep_first(ranked, ["text"], ["_side", *order, "intent", "source"])
+    stacked, side = _stacked(relabelled, synthetic)
+    usable = stacked.filter(_usable()).withColumn("text", strip(F.col("text")))
+    ranked = usable.select(*COLUMNS, side, *[F.col(f"`{c}`") for c in order if c not in COLUMNS])
+    unique = keep_first(ranked, ["text"], [side, *order, *[c for c in ("intent", "source") if c not in order]])
     return seeded_shuffle(unique.select(*COLUMNS), seed, key=["text"])
 
 
 def training_funnel(relabelled: DataFrame, synthetic: DataFrame) -> DataFrame:
     """Rows before and after each step of the merge.
 
-    Texts are counted per side first, so copies collapse before the shuffle.
+    Texts are counted per side first, so copies collapse before the shuffle, and told
+    apart by hash and length, so no text is shuffled.
     """
+    stacked, side = _stacked(relabelled, synthetic)
     usable = F.when(_usable(), strip(F.col("text")))
     texts = (
-        _stacked(relabelled, synthetic)
-        .groupBy(usable.alias("text"))
+        stacked.select(F.sha2(usable, 256).alias("text"), F.length(usable).alias("size"), side)
+        .groupBy("text", "size")
         .agg(
-            F.count_if(F.col("_side") == 0).alias("relabelled"),
-            F.count_if(F.col("_side") == 1).alias("synthetic"),
+            F.count_if(F.col(side) == 0).alias("relabelled"),
+            F.count_if(F.col(side) == 1).alias("synthetic"),
         )
     )
     both = F.col("relabelled") + F.col("synthetic")
@@ -122,7 +137,7 @@ def training_funnel(relabelled: DataFrame, synthetic: DataFrame) -> DataFrame:
 
 
 def training_report(
-    training: DataFrame, intents: Iterable[str] = INTENTS, rows_per_block: int = 50
+    training: DataFrame, intents: Iterable[str] | DataFrame = INTENTS, rows_per_block: int = 50
 ) -> DataFrame:
     """Rows of each intent of the taxonomy with a text bar, and whether it is missing."""
     rows = F.col("rows")

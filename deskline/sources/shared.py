@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``. Only a local session, whose tasks
-    all run on this machine, may do without that setting."""
+    """A new folder under ``spark.checkpoint.dir`` or, where that is not set, under the
+    session's warehouse, which its file system holds on every deployment."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="deskline-")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

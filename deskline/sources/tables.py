@@ -43,16 +43,21 @@ _CSV_OPTIONS = {
 
 
 def read_csv(
-    spark: SparkSession, path: str | list[str], schema: T.StructType | str, na_values: Sequence[str] = ()
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | str,
+    na_values: Sequence[str] = (),
+    multi_line: bool = True,
 ) -> DataFrame:
     """Read CSV files with a header, whose texts may hold newlines, quotes and outer
     whitespace. An empty cell is missing; so are the words in ``na_values``
     (``NA_VALUES`` for the usual ones).
 
     A file whose texts may hold newlines is read by one task: keep files small, as
-    ``write_csv`` does, or use parquet.
+    ``write_csv`` does, or use parquet. With ``multi_line=False`` a line is a row, and
+    files of any size are split.
     """
-    df = spark.read.options(**_CSV_OPTIONS, multiLine=True).schema(schema).csv(path)
+    df = spark.read.options(**_CSV_OPTIONS, multiLine=multi_line).schema(schema).csv(path)
     if not na_values:
         return df
     missing = list(na_values)
@@ -88,11 +93,12 @@ def read_labelled(
     label_col: str = "intent",
     file_format: str = "parquet",
     schema: T.StructType | str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Read a corpus and keep its texts and labels as ``text, intent``. CSV and JSON
-    need a schema; parquet brings its own."""
+    need a schema; parquet brings its own. ``multi_line`` is for CSV."""
     if file_format == "csv":
-        df = read_csv(spark, path, schema)
+        df = read_csv(spark, path, schema, multi_line=multi_line)
     else:
         reader = spark.read.schema(schema) if schema is not None else spark.read
         df = reader.format(file_format).load(path)

@@ -6,7 +6,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from catalog.oracles import SQL
+from catalog.spark_queries import QUERIES
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
@@ -34,11 +36,11 @@ def table(columns, rows):
     return names, sorted((tuple(plain(r[i]) for i in order) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_oracle(spark, duck, name):
-    result = queries()[name](spark, SF)
+    result = QUERIES[name](spark, SF)
     names, rows = table(result.columns, [tuple(r) for r in result.collect()])
-    relation = duck.sql(oracle_sql()[name])
+    relation = duck.sql(SQL[name])
     expected_names, expected = table(list(relation.columns), relation.fetchall())
     assert names == expected_names
     assert len(rows) == len(expected)
@@ -47,11 +49,8 @@ def test_query_equals_oracle(spark, duck, name):
     assert rows
 
 
-def test_queries_without_an_oracle(spark):
-    assert set(queries()) - set(oracle_sql()) == {"intent_baseline"}
-    assert set(oracle_sql()) <= set(queries())
-    rows = queries()["intent_baseline"](spark, SF).collect()
-    assert rows and all(0 < r.confidence <= 1 for r in rows)
+def test_every_own_query_has_an_oracle():
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry(spark):

@@ -15,9 +15,9 @@ from deskline.functions.text import let
 
 # Characters of a candidate, at least.
 SHORTEST = 16
-_CANDIDATE = f"[A-Za-z0-9_+/=.-]{{{SHORTEST},}}"
-# A line that is one rule of the same character is no candidate.
-_TRIM = r"\A[.=/-]+|[.,;:]+\z"
+_CANDIDATE = f"[A-Za-z0-9_+/.-]{{{SHORTEST},}}={{0,2}}"
+# Marks around a candidate are no part of it.
+_TRIM = r"\A[./-]+|[./-]+\z"
 
 # Words that names and prose are made of, and words near findings.
 DICTIONARY = (

@@ -64,7 +64,7 @@ def license_scan(
     Words are runs of letters and digits, with A-Z folded; an n-gram is three of them.
     Documents are read once and no text is shuffled; what meets in a band is a row of
     one window. Templates have at most 50,000 n-grams together (more are refused), so
-    they fit into the plan. Templates of fewer than three words, or null, are not looked
+    they fit into the plan and their bands (48 times their size) are broadcast. Templates of fewer than three words, or null, are not looked
     for; texts of fewer, or null, hold none. Rows with the same id are one document, a
     null id stays null. Templates with the same text are each found.
     """
@@ -72,10 +72,11 @@ def license_scan(
     own = templates.select(F.col(license_col).alias("license"), _ngrams(_words(F.col(template_col))).alias("grams"))
     own = own.select("license", F.array_distinct("grams").alias("grams")).where(F.size("grams") > 0)
     own = own.withColumn("span", _power_of_two(2 * F.size("grams")))
+    total = own.agg(F.sum(F.size("grams")).alias("n")).first().n or 0
+    if total > MAX_TEMPLATE_NGRAMS:
+        raise ValueError(f"templates have {total} n-grams, more than {MAX_TEMPLATE_NGRAMS}")
     rows = own.select("grams", "span").collect()
     known = sorted({g for r in rows for g in r.grams})
-    if len(known) > MAX_TEMPLATE_NGRAMS:
-        raise ValueError(f"templates have {len(known)} n-grams, more than {MAX_TEMPLATE_NGRAMS}")
     spans = sorted({r.span for r in rows})
     bands = own.select("license", "grams", "span", F.posexplode(_signature(F.col("grams"))).alias("band", "value"))
 
@@ -93,7 +94,7 @@ def license_scan(
     signed = windows.select("*", F.posexplode(_signature(F.col("inside"))).alias("band", "value"))
     share = F.size(F.array_intersect("inside", "grams")) / F.size("grams")
     return (
-        signed.join(bands, ["span", "band", "value"])
+        signed.join(F.broadcast(bands), ["span", "band", "value"])
         .withColumn("containment", share)
         .where(100 * F.size(F.array_intersect("inside", "grams")) >= percent * F.size("grams"))
         .groupBy("id", "license", F.size("grams").alias("ngrams"))

@@ -143,7 +143,7 @@ class _Counter:
         except KeyError:
             if len(known) > _KNOWN:
                 known.clear()
-            fresh = {p: len(self.shared.encoding.encode_ordinary(p)) for p in set(pretokens) - known.keys()}
+            fresh = {p: len(self.shared.encoding.encode_ordinary(p)) for p in {p for p in pretokens if p not in known}}
             known.update((p, n) for p, n in fresh.items() if len(p) <= 100)
             return [known[p] if p in known else fresh[p] for p in pretokens]
 

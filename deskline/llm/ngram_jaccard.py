@@ -29,6 +29,8 @@ _BAND_GROWTH = 1.5
 _BLOCK = 512
 # Up to this many 64-bit keys are broadcast to fetch texts; more are joined by shuffle.
 _BROADCAST_KEYS = 500_000
+# Two nodes, the smaller one first, and a text of each.
+_PAIRS = "a long, b long, key_a long, key_b long"
 
 
 class Scheme(NamedTuple):
@@ -53,15 +55,17 @@ def ngram_jaccard_join(
     nothing.
 
     Equal sets are one node. The nodes that share a part are first compared with the
-    smallest of them only, and the components of these links found; then, inside each
-    part, nodes of different components are compared by their sketches in blocks, and
-    pairs within the bound verified on their whole texts. So a group of near copies
-    costs links in proportion to its size, and no link between components is lost.
+    smallest of them only, by their sketches; then nodes of different such groups are, in
+    blocks, and a spanning forest of the pairs within the bound is taken. These pairs are
+    verified on whole texts. Where one is no link, all pairs of nodes in the components
+    at its ends that share a part are compared, and those within the bound verified. So a
+    group of near copies gives pairs in proportion to its size, and no link between
+    components is lost.
 
     Parts with very few n-grams are equal by chance in many documents and give no key;
     instead, sets with few parts are dealt several times with other hashes (see
     :func:`scheme`). A link is missed only if all its equal parts are such light ones in
-    every deal, for which the odds are below one in a million.
+    every deal, for which the odds are below one in a million by estimate.
 
     Null texts count as empty. Rows with the same id are one document, their texts link.
     A null id is a document of its own; its component has the smallest id in it, null if
@@ -78,25 +82,57 @@ def ngram_jaccard_join(
     )
     nodes = table_of(
         keyed.select("text_key", "text")
-        .mapInArrow(lambda batches: _sketches(batches, words, percent), "node long, size long, text_key long, sketches array<binary>")
+        .mapInArrow(lambda batches: _sketches(batches, words, percent), "node long, size long, text_key long, sketches array<struct<slot:int,bits:binary,heavy:binary,folded:binary>>")
         .dropDuplicates(["node"]),
         "jaccard-nodes",
     )
-    keys = nodes.select("node", "size", "sketches").mapInArrow(lambda batches: _keys(batches, percent), "key long, node long, slot int")
-    shared = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high")
-    members = table_of(keys.join(shared, "key"), "jaccard-members")
-    # Only nodes that share a part are looked at from here on.
-    known = table_of(nodes.join(members.select("node").distinct(), "node", "left_semi"), "jaccard-known")
-
-    star = members.where("node != low").groupBy(F.col("low").alias("a"), F.col("node").alias("b")).agg(F.first("slot").alias("slot"))
-    links = saved(_verified(_within_bound(star, known, percent), known, keyed, words, percent))
+    keys = nodes.select("node", "size", "sketches").mapInArrow(lambda batches: _keys(batches, percent), "key long, node long, place long")
+    # Most parts are in one document. Of a part in two, the smallest and the largest node
+    # are all; only crowded ones have to be looked up again.
+    ends = [F.min("node").alias("low"), F.max("node").alias("high"), F.min("place").alias("place"), F.count(F.lit(1)).alias("n")]
+    shared = table_of(keys.groupBy("key").agg(*ends).where("low != high"), "jaccard-shared")
+    crowded = shared.where("n > 2").select("key", "low")
+    if crowded.count() <= _BROADCAST_KEYS:
+        crowded = F.broadcast(crowded)
+    both = shared.where("n = 2").select("key", F.explode(F.array("low", "high")).alias("node"), "place", "low")
+    members = table_of(both.unionByName(keys.join(crowded, "key")), "jaccard-members")
+    # Only nodes that share a part are looked at from here on, one row for each sketch.
+    touched = nodes.join(members.select("node").distinct(), "node", "left_semi")
+    known = table_of(
+        touched.select("node", "size", "text_key", F.explode("sketches").alias("sketch")).select(
+            "node", "size", "text_key", "sketch.slot", "sketch.folded"
+        ),
+        "jaccard-known",
+    )
+
+    # Pairs within the bound: each node with the smallest of its part, and what more it
+    # takes to join nodes across these groups, a forest in each part.
+    star = members.where("node != low").groupBy(F.col("low").alias("a"), F.col("node").alias("b")).agg(F.min(_slot()).alias("slot"))
+    near = saved(_within_bound(star, known, percent))
+    groups = near.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
+    pairs = saved(near.union(_across(members, groups, known, percent, least=3)))
+    links = saved(_verified(pairs, keyed, words, percent))
     labels = saved(connected_components(links))
-    across = saved(_across(members, labels, known, percent))
-    links = links.union(_verified(across, known, keyed, words, percent))
-    # Rows that share an id are one document.
-    same_id = sets.where("id is not null and n_shingles > 0").groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a != b")
-    spread = sets.join(same_id.select("id", "a"), "id").where("n_shingles > 0").select("a", F.col("node").alias("b"))
-    labels = connected_components(links.union(spread))
+    # A pair that is no link may have hidden one between the same components: compare all
+    # of their nodes.
+    wrong = saved(pairs.join(links, ["a", "b"], "left_anti"))
+    more = _same_id(sets)
+    if not wrong.isEmpty():
+        ends = wrong.select(F.col("a").alias("node")).union(wrong.select("b"))
+        doubtful = _labelled(ends, labels).select("component").distinct()
+        again = _labelled(members, labels).join(doubtful, "component", "left_semi").select(*members.columns)
+        others = _across(again, labels, known, percent, least=2, forest=False).join(wrong, ["a", "b"], "left_anti")
+        more = more.union(_verified(others, keyed, words, percent))
+    more = saved(more)
+    if not more.isEmpty():
+        # Whole components are joined: the links between them are few.
+        joined = connected_components(_renamed(_renamed(more, labels, "a"), labels, "b")).withColumnRenamed("component", "whole")
+        all_nodes = labels.unionByName(
+            more.select(F.col("a").alias("node")).union(more.select("b")).distinct().join(labels, "node", "left_anti").withColumn("component", F.col("node"))
+        )
+        labels = all_nodes.join(joined.withColumnRenamed("node", "component"), "component", "left").select(
+            "node", F.coalesce("whole", "component").alias("component")
+        )
     labelled = sets.join(labels, "node", "left").withColumn(
         "component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node"))
     )
@@ -106,6 +142,19 @@ def ngram_jaccard_join(
     )
 
 
+def _same_id(sets: DataFrame) -> DataFrame:
+    """Links between the nodes of rows that share an id: these are one document."""
+    rows = sets.where("id is not null and n_shingles > 0")
+    shared = rows.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a != last")
+    return rows.join(shared, "id").where("node != a").select("a", F.col("node").alias("b"))
+
+
+def _renamed(links: DataFrame, labels: DataFrame, end: str) -> DataFrame:
+    """Links with one end replaced by its component."""
+    found = links.withColumnRenamed(end, "node").join(labels, "node", "left")
+    return found.withColumn(end, F.coalesce("component", "node")).select("a", "b")
+
+
 def drop_near_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -194,8 +243,9 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """The sketches of every set that has words, scheme by scheme and deal by deal. Each
-    is the parity bits of all parts and then a byte for each: 1 if it gives a key."""
+    """The sketches of every set that has words, one for each band and deal (the slot):
+    the parity bits of all parts, a bit for each part that gives a key, and the parity
+    bits folded to an eighth."""
     hasher = WordHasher()
     for batch in batches:
         text_keys = batch.column("text_key").to_pylist()
@@ -207,7 +257,11 @@ def _sketches(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> It
                 for plan in schemes(len(found), percent):
                     for deal in range(plan.deals):
                         bits, weights = _sketch(found, plan.parts, deal)
-                        drawn.append(bits.tobytes() + (weights >= plan.min_weight).astype(np.uint8).tobytes())
+                        heavy = np.packbits(weights >= plan.min_weight)
+                        # The same flips over eight bits a part: a sketch too, and small.
+                        folded = np.bitwise_xor.reduce(bits.view(np.uint8).reshape(-1, 8), axis=1)
+                        values = (plan.band * 8 + deal, bits.tobytes(), heavy.tobytes(), folded.tobytes())
+                        drawn.append(dict(zip(("slot", "bits", "heavy", "folded"), values)))
                 for column, value in zip(out, (_node(found), len(found), text_keys[row + i], drawn)):
                     column.append(value)
             if len(out[0]) >= 2000:
@@ -217,100 +271,92 @@ def _sketches(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> It
 
 
 def _sketch_batch(out: list[list]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.binary()))
+    sketch = pa.struct([("slot", pa.int32()), *((name, pa.binary()) for name in ("bits", "heavy", "folded"))])
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(sketch))
     return pa.RecordBatch.from_arrays(
         [pa.array(column, kind) for column, kind in zip(out, kinds)], ["node", "size", "text_key", "sketches"]
     )
 
 
 def _keys(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """A key for each part that is heavy enough: its bits, place, deal and band."""
+    """A key for each part that is heavy enough: its bits, and its place (slot and
+    number)."""
     for batch in batches:
-        keys, nodes, slots, held = [], [], [], 0
-        for node, size, drawn in zip(*(batch.column(c).to_pylist() for c in ("node", "size", "sketches"))):
-            slot = 0
-            for plan in schemes(size, percent):
-                for deal in range(plan.deals):
-                    bits = np.frombuffer(drawn[slot], np.uint64, plan.parts)
-                    heavy = np.flatnonzero(np.frombuffer(drawn[slot], np.uint8, plan.parts, plan.parts * 8))
-                    place = mix(heavy.astype(np.uint64) + np.uint64((plan.band * 8 + deal + 1) << 32))
-                    keys.append(mix(bits[heavy] ^ place).view(np.int64))
-                    nodes.append(np.full(len(heavy), node, np.int64))
-                    slots.append(np.full(len(heavy), slot, np.int32))
-                    held += len(heavy)
-                    slot += 1
+        keys, nodes, places, held = [], [], [], 0
+        for node, drawn in zip(batch.column("node").to_pylist(), batch.column("sketches").to_pylist()):
+            for sketch in drawn:
+                bits = np.frombuffer(sketch["bits"], np.uint64)
+                heavy = np.flatnonzero(np.unpackbits(np.frombuffer(sketch["heavy"], np.uint8), count=len(bits)))
+                place = heavy + (sketch["slot"] << 32)
+                keys.append(mix(bits[heavy] ^ mix(place.astype(np.uint64) + np.uint64(1))).view(np.int64))
+                nodes.append(np.full(len(heavy), node, np.int64))
+                places.append(place)
+                held += len(heavy)
             if held >= 200_000:
-                yield _key_batch(keys, nodes, slots)
-                keys, nodes, slots, held = [], [], [], 0
+                yield _key_batch(keys, nodes, places)
+                keys, nodes, places, held = [], [], [], 0
         if keys:
-            yield _key_batch(keys, nodes, slots)
+            yield _key_batch(keys, nodes, places)
 
 
-def _key_batch(keys: list, nodes: list, slots: list) -> pa.RecordBatch:
-    columns = [pa.array(np.concatenate(c)) for c in (keys, nodes, slots)]
-    return pa.RecordBatch.from_arrays(columns, ["key", "node", "slot"])
+def _key_batch(keys: list, nodes: list, places: list) -> pa.RecordBatch:
+    columns = [pa.array(np.concatenate(c)) for c in (keys, nodes, places)]
+    return pa.RecordBatch.from_arrays(columns, ["key", "node", "place"])
 
 
-# -- comparing -----------------------------------------------------------------
+def _slot() -> Column:
+    return F.shiftright("place", 32).cast("int")
 
 
-def _side(known: DataFrame, side: str) -> DataFrame:
-    return known.select(
-        F.col("node").alias(side), F.col("size").alias(f"size_{side}"), F.col("sketches").alias(f"sketches_{side}")
-    )
+# -- comparing -----------------------------------------------------------------
 
 
 def _within_bound(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sketches differ by no more bits than linked sets may."""
-    sketched = pairs.join(_side(known, "a"), "a").join(_side(known, "b"), "b")
+    """The pairs whose sketches of a common slot differ by no more bits than those of
+    linked sets may."""
+
+    def side(name: str) -> DataFrame:
+        columns = ("size", "folded", "text_key")
+        return known.select(F.col("node").alias(name), "slot", *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = ("a", "b", "size_a", "size_b", "sketches_a", "sketches_b")
             kept = []
-            for a, b, size_a, size_b, drawn_a, drawn_b in zip(*(batch.column(c).to_pylist() for c in names)):
-                bands_a = {(p.band, d): i for i, (p, d) in enumerate(_slots(size_a, percent))}
-                first = next(
-                    (
-                        (i, bands_a[p.band, d], p.parts)
-                        for i, (p, d) in enumerate(_slots(size_b, percent))
-                        if (p.band, d) in bands_a
-                    ),
-                    None,
-                )
-                if first is None:
-                    continue
-                left = np.frombuffer(drawn_a[first[1]], np.uint64, first[2])
-                right = np.frombuffer(drawn_b[first[0]], np.uint64, first[2])
-                differ = int(np.bitwise_count(left ^ right).sum())
-                if differ * (100 + percent) <= (size_a + size_b) * (100 - percent):
-                    kept.append((a, b))
+            for a, b, key_a, key_b, size_a, size_b, left, right in zip(*(column.to_pylist() for column in batch.columns)):
+                differ = np.bitwise_count(np.frombuffer(left, np.uint8) ^ np.frombuffer(right, np.uint8)).sum()
+                if int(differ) * (100 + percent) <= (size_a + size_b) * (100 - percent):
+                    kept.append((a, b, key_a, key_b))
             yield _pair_batch(kept)
 
-    return sketched.select("a", "b", "size_a", "size_b", "sketches_a", "sketches_b").mapInArrow(near, "a long, b long")
-
-
-def _slots(size: int, percent: int) -> list[tuple[Scheme, int]]:
-    return [(plan, deal) for plan in schemes(size, percent) for deal in range(plan.deals)]
+    sketched = pairs.join(side("a"), ["a", "slot"]).join(side("b"), ["b", "slot"])
+    columns = ["a", "b", "text_key_a", "text_key_b", "size_a", "size_b", "folded_a", "folded_b"]
+    return sketched.select(*columns).mapInArrow(near, _PAIRS)
 
 
-def _pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+def _pair_batch(pairs: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["a", "b"]
+        [pa.array([p[i] for p in pairs], pa.int64()) for i in range(4)], ["a", "b", "key_a", "key_b"]
     )
 
 
-def _across(members: DataFrame, labels: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+def _labelled(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows with a node, and its component: itself if it has no link."""
+    found = nodes.join(labels, "node", "left")
+    return found.select(*nodes.columns, F.coalesce("component", "node").alias("component"))
+
+
+def _across(
+    members: DataFrame, labels: DataFrame, known: DataFrame, percent: int, least: int, forest: bool = True
+) -> DataFrame:
     """Pairs of nodes that share a part, lie in different components and are within the
-    bound. A part's nodes are cut into blocks, and a task compares two of them."""
-    labelled = members.join(labels, "node", "left").select(
-        "key", "node", "slot", F.coalesce("component", "node").alias("component")
-    )
-    # The two nodes of a part that has no others were compared before.
+    bound: all, or a spanning ``forest`` of them for each part. Parts of ``least`` nodes
+    and more are looked at, as the two nodes of a part without others were compared
+    before. A part's nodes are cut into blocks, and a task compares two of them."""
+    labelled = _labelled(members, labels)
     crowded = (
         labelled.groupBy("key")
         .agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("c0"), F.max("component").alias("c1"))
-        .where("n > 2 and c0 != c1")
+        .where(f"n >= {least} and c0 != c1")
         .select("key", F.ceil(F.col("n") / _BLOCK).cast("int").alias("blocks"))
     )
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -322,53 +368,59 @@ def _across(members: DataFrame, labels: DataFrame, known: DataFrame, percent: in
         (F.col("own") >= F.col("other")).alias("right"),
         "node",
         "component",
-        "slot",
-    ).join(known.select("node", "size", "sketches"), "node")
-    tasks = tasks.select("task", "left", "right", "node", "component", "size", F.col("sketches")[F.col("slot")].alias("sketch"))
+        _slot().alias("slot"),
+    )
+    tasks = tasks.join(known, ["node", "slot"]).select(
+        "task", "left", "right", "node", "text_key", "component", "size", "folded"
+    )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
             for row in zip(*(column.to_pylist() for column in batch.columns)):
                 if held and row[0] != held[0][0]:
-                    yield _pair_batch(_compare_blocks(held, percent))
+                    yield _pair_batch(_compare_blocks(held, percent, forest))
                     held = []
                 held.append(row)
         if held:
-            yield _pair_batch(_compare_blocks(held, percent))
+            yield _pair_batch(_compare_blocks(held, percent, forest))
 
-    return tasks.repartition("task").sortWithinPartitions("task").mapInArrow(compare, "a long, b long").distinct()
+    return tasks.repartition("task").sortWithinPartitions("task").mapInArrow(compare, _PAIRS).distinct()
 
 
-def _compare_blocks(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
-    _, left, right, node, component, size, sketch = (list(c) for c in zip(*rows))
-    parts = len(sketch[0]) // 9
-    bits = np.array([np.frombuffer(s, np.uint64, parts) for s in sketch])
-    component, size = np.array(component), np.array(size)
-    others = np.flatnonzero(right)
-    pairs = []
+def _compare_blocks(rows: list[tuple], percent: int, forest: bool) -> list[tuple[int, int, int, int]]:
+    _, left, right, node, text_key, component, size, folded = (list(c) for c in zip(*rows))
+    bits = np.array([np.frombuffer(f, np.uint8) for f in folded])
+    names, component = np.unique(component, return_inverse=True)
+    size, others = np.array(size), np.flatnonzero(right)
+    root = np.arange(len(names))
+    pairs = set()
     for i in np.flatnonzero(left):
-        wanted = others[component[others] != component[i]]
+        wanted = others[root[component[others]] != root[component[i]]]
         if not len(wanted):
             continue
         differ = np.bitwise_count(bits[wanted] ^ bits[i]).sum(axis=1, dtype=np.int64)
-        near = wanted[differ * (100 + percent) <= (size[wanted] + size[i]) * (100 - percent)]
-        pairs += [(min(node[i], node[j]), max(node[i], node[j])) for j in near]
-    return list(dict.fromkeys(pairs))
+        near = differ * (100 + percent) <= (size[wanted] + size[i]) * (100 - percent)
+        for j in wanted[near]:
+            if forest:
+                a, b = root[component[i]], root[component[j]]
+                if a == b:
+                    continue
+                root[root == b] = a
+            first, second = (i, j) if node[i] < node[j] else (j, i)
+            pairs.add((node[first], node[second], text_key[first], text_key[second]))
+    return sorted(pairs)
 
 
-def _verified(pairs: DataFrame, known: DataFrame, keyed: DataFrame, words: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, keyed: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs that link by the exact size of their intersection."""
     pairs = saved(pairs)
-    wanted = saved(pairs.select("a").union(pairs.select("b")).distinct())
-    wanted_keys = known.select("node", "text_key").join(wanted.withColumnRenamed("a", "node"), "node")
-    needles = saved(wanted_keys.select("node", "text_key"))
-    short = needles.select("text_key")
-    if short.count() <= _BROADCAST_KEYS:
-        short = F.broadcast(short)
-    texts = saved(keyed.select("text_key", "text").join(short, "text_key", "left_semi").dropDuplicates(["text_key"]).join(needles, "text_key"))
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
+    wanted = saved(pairs.select(F.col("key_a").alias("text_key")).union(pairs.select("key_b")).distinct())
+    if wanted.count() <= _BROADCAST_KEYS:
+        wanted = F.broadcast(wanted)
+    texts = saved(keyed.select("text_key", "text").join(wanted, "text_key", "left_semi").dropDuplicates(["text_key"]))
+    both = pairs.join(texts.select(F.col("text_key").alias("key_a"), F.col("text").alias("text_a")), "key_a").join(
+        texts.select(F.col("text_key").alias("key_b"), F.col("text").alias("text_b")), "key_b"
     )
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -385,6 +437,6 @@ def _verified(pairs: DataFrame, known: DataFrame, keyed: DataFrame, words: int,
                 both = len(np.intersect1d(left, right, assume_unique=True))
                 if 100 * both >= percent * (len(left) + len(right) - both):
                     kept.append((a, b))
-            yield _pair_batch(kept)
+            yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in kept], pa.int64()) for i in (0, 1)], ["a", "b"])
 
     return both.select("a", "b", "text_a", "text_b").mapInArrow(exact, "a long, b long")

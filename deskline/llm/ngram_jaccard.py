@@ -59,8 +59,9 @@ def ngram_jaccard_join(
     blocks, and a spanning forest of the pairs within the bound is taken. These pairs are
     verified on whole texts. Where one is no link, all pairs of nodes in the components
     at its ends that share a part are compared, and those within the bound verified. So a
-    group of near copies gives pairs in proportion to its size, and no link between
-    components is lost.
+    group of linked copies is verified by pairs in proportion to its size, and no link
+    between components is lost. Near copies below the threshold share parts too: their
+    candidate pairs, compared by sketches only, can grow faster than the group.
 
     Parts with very few n-grams are equal by chance in many documents and give no key;
     instead, sets with few parts are dealt several times with other hashes (see

@@ -9,8 +9,16 @@ first word at step 0, which all keys sample: so only windows of a document that
 with a word which an item's window begins with are walked, and the others are known not
 to collide.
 
-Each item is walked from several of its words with several seeds, which gives the recall;
-each collision is then verified by the exact edit distance of the whole item.
+A walk ends where the item ends, and the walk of a document after as many words: so the
+zeros that a walk writes outside its window fall on the same steps of both. Steps are
+scaled to the words that are left. Each item is walked from several of its words with
+several seeds, which gives the recall.
+
+Short items leave a walk too little to read. They are cut into one piece more than edits
+are allowed, so that every passage holds one piece as it is (pigeonhole), and the pieces
+are looked up as n-grams: of short items none is lost.
+
+Each collision is then verified by the exact edit distance of the whole item.
 """
 
 from __future__ import annotations
@@ -32,6 +40,8 @@ _STARTS = 6
 _SEEDS = 6
 # Steps of a walk, one for each bit of a hash, and steps that a key samples besides 0.
 _STEPS, _SAMPLED = 32, 3
+# Words that a walk has left at least, and words below which an item is short.
+_LEFT, _SHORT = 4, 32
 # Items that are looked for at once.
 _ITEMS = 20_000
 _FILTER_BITS = 20
@@ -43,10 +53,13 @@ class ItemIndex:
 
     ids: list
     words: list[np.ndarray]
-    first_words: np.ndarray  # a table of hash bits: may a walk begin here
-    keys: np.ndarray  # sorted
+    first_words: np.ndarray  # a table of hash bits: may a walk or piece begin here
+    opening: np.ndarray  # first words of walks, sorted, once for each number of words left
+    left: np.ndarray  # of each opening
+    sizes: list[int]  # of pieces, ascending
+    keys: np.ndarray  # of walks and pieces, sorted
     item: np.ndarray  # of each key
-    start: np.ndarray  # word of the item where the walk began
+    start: np.ndarray  # word of the item where the walk or piece began
     percent: int
 
 
@@ -147,42 +160,89 @@ def item_index(ids: list, texts: list[str], percent: int) -> ItemIndex:
     flat = np.concatenate([*words, np.zeros(0, np.uint64)])
     # Walk from the word of each part that the fewest items have: few other texts will.
     known, counts = np.unique(flat, return_counts=True)
-    places = []
+    walks, pieces = [], []
     for item, own in enumerate(words):
+        if len(own) < _SHORT:
+            edges = np.linspace(0, len(own), min(_allowed(own, percent) + 1, len(own)) + 1).astype(int)
+            pieces += [(item, s, e - s) for s, e in zip(edges[:-1], edges[1:])]
+            continue
         common = counts[np.searchsorted(known, own)]
-        edges = np.unique(np.linspace(0, len(own), _STARTS + 1).astype(int))
+        edges = np.unique(np.linspace(0, len(own) - _LEFT + 1, _STARTS + 1).astype(int))
         for s, e in zip(edges[:-1], edges[1:]):
-            places.append((item, s + int(np.argmin(common[s:e]))))
-    ends = np.cumsum([len(w) for w in words]) if words else np.zeros(0, np.int64)
-    item = np.array([i for i, _ in places], np.int64)
-    start = np.array([s for _, s in places], np.int64)
-    at = start + (ends - [len(w) for w in words])[item] if len(places) else start
-    keys = [_keys(flat, at, ends[item] if len(places) else at, seed) for seed in range(_SEEDS)]
-    flat_keys = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+            start = s + int(np.argmin(common[s:e]))
+            walks.append((item, start, min(len(own) - start, _STEPS)))
+    begin = np.cumsum([0, *(len(w) for w in words)])
+    item, start, left = np.array(walks, np.int64).reshape(-1, 3).T
+    at = begin[item] + start
+    keys = [_keys(flat, at, at + left, left, seed) for seed in range(_SEEDS)]
+    items, starts = [item] * _SEEDS, [start] * _SEEDS
+    piece_of, piece_at, size = np.array(pieces, np.int64).reshape(-1, 3).T
+    places = begin[piece_of] + piece_at
+    for n, grams in _grams(flat, places, np.unique(size).tolist(), begin[piece_of] + piece_at + size):
+        keys.append(grams[size == n])
+        items.append(piece_of[size == n])
+        starts.append(piece_at[size == n])
+    flat_keys = np.concatenate(keys)
     order = np.argsort(flat_keys)
     first_words = np.zeros(1 << _FILTER_BITS, bool)
-    first_words[(flat[at] >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-    return ItemIndex(ids, words, first_words, flat_keys[order], np.tile(item, _SEEDS)[order], np.tile(start, _SEEDS)[order], percent)
-
-
-def _keys(words: np.ndarray, at: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    first_words[(flat[np.concatenate([at, places])] >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
+    openings = np.unique(np.stack([flat[at], left.astype(np.uint64)], 1), axis=0)
+    return ItemIndex(
+        ids,
+        words,
+        first_words,
+        openings[:, 0].copy(),
+        openings[:, 1].astype(np.int64),
+        np.unique(size).tolist(),
+        flat_keys[order],
+        np.concatenate(items)[order],
+        np.concatenate(starts)[order],
+        percent,
+    )
+
+
+def _allowed(own: np.ndarray, percent: int) -> int:
+    """Edits that a passage of the item may have."""
+    return len(own) * (100 - percent) // 100
+
+
+def _keys(words: np.ndarray, at: np.ndarray, end: np.ndarray, left: np.ndarray, seed: int) -> np.ndarray:
     """The sampled outputs of the walks that begin at ``at`` in a run of words, hashed. A
-    walk that leaves its window writes zeros."""
+    walk that leaves its window, ``left`` words or up to ``end``, writes zeros."""
     if not len(at):
         return np.zeros(0, np.uint64)
     salt = seeded(seed + 1, 57)[seed]
     bits = mix(words ^ salt)
     steps = np.sort(np.random.default_rng(1000 + seed).choice(np.arange(2, _STEPS), _SAMPLED, replace=False))
-    place, last = at.copy(), end - 1
-    key = words[at] * np.uint64(2 * seed + 3)
+    # A walk moves at every other step or so: over half as many words as it has steps.
+    scale = np.minimum(left, _STEPS // 2)
+    sampled = [np.maximum(step * scale // (_STEPS // 2), 1) for step in steps]
+    outputs = [np.zeros(len(at), np.uint64) for _ in sampled]
+    place, last = at.copy(), np.minimum(end, at + left) - 1
     for step in range(int(steps[-1]) + 1):
         inside = np.minimum(place, last)
-        if step in steps:
-            key = mix(key) + np.where(place <= last, words[inside], np.uint64(0))
+        written = np.where(place <= last, words[inside], np.uint64(0))
+        for output, of in zip(outputs, sampled):
+            np.copyto(output, written, where=of == step)
         place += ((bits[inside] >> np.uint64(step)) & np.uint64(1)).astype(np.int64)
+    key = words[at] * np.uint64(2 * seed + 3) + left.astype(np.uint64)
+    for output in outputs:
+        key = mix(key) + output
     return mix(key ^ salt)
 
 
+def _grams(words: np.ndarray, at: np.ndarray, sizes: list[int], end: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each size, and the hash of so many words from each of ``at``; 0 where ``end`` is
+    before."""
+    if not len(at):
+        return
+    key = np.zeros(len(at), np.uint64)
+    for n in range(1, max(sizes, default=0) + 1):
+        key = mix(key + np.uint64(n)) + words[np.minimum(at + n - 1, len(words) - 1)]
+        if n in sizes:
+            yield n, np.where(at + n <= end, mix(key), np.uint64(0))
+
+
 # -- the search ----------------------------------------------------------------
 
 
@@ -195,18 +255,17 @@ def _passages(column: pa.Array, index: ItemIndex) -> Iterator[tuple[int, int, in
         if not len(at):
             continue
         line = np.searchsorted(first, at, "right") - 1
-        begin, end = first[line], first[line + 1]
-        near = set()
-        for seed in range(_SEEDS):
-            keys = _keys(words, at, end, seed)
-            low, high = np.searchsorted(index.keys, keys, "left"), np.searchsorted(index.keys, keys, "right")
-            for hit in np.flatnonzero(low < high):
-                for k in range(low[hit], high[hit]):
-                    near.add((int(line[hit]), int(index.item[k]), int(at[hit] - index.start[k]), int(begin[hit]), int(end[hit])))
+        # Each place is walked once for each number of words that is left to an item there.
+        low, high = np.searchsorted(index.opening, words[at], "left"), np.searchsorted(index.opening, words[at], "right")
+        walk, opening = _spread(low, high)
+        found = [_hits(index, _keys(words, at[walk], first[line[walk] + 1], index.left[opening], seed), at[walk], line[walk]) for seed in range(_SEEDS)]
+        found += [_hits(index, grams, at, line) for _, grams in _grams(words, at, index.sizes, first[line + 1])]
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for text, item, origin, begin_of, end_of in sorted(near):
-            own = index.words[item]
-            allowed = len(own) * (100 - index.percent) // 100
+        for text, item, origin in np.unique(np.concatenate(found), axis=0).tolist():
+            if best.get((text, item), (1, 0))[0] == 0:
+                continue
+            own, begin_of, end_of = index.words[item], int(first[text]), int(first[text + 1])
+            allowed = _allowed(own, index.percent)
             low, high = max(begin_of, origin - allowed), min(end_of, origin + len(own) + allowed)
             distance = passage_distance(own, words[low:high])
             if distance <= allowed and (distance, low - begin_of) < best.get((text, item), (allowed + 1, 0)):
@@ -215,6 +274,19 @@ def _passages(column: pa.Array, index: ItemIndex) -> Iterator[tuple[int, int, in
             yield row + text, item, distance, start
 
 
+def _spread(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each number from ``low`` up to ``high``: its row, and itself."""
+    count = high - low
+    row = np.repeat(np.arange(len(low)), count)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + low[row]
+
+
+def _hits(index: ItemIndex, keys: np.ndarray, at: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """``text, item, origin`` for each key of the index that one of ``keys`` meets."""
+    hit, k = _spread(np.searchsorted(index.keys, keys, "left"), np.searchsorted(index.keys, keys, "right"))
+    return np.stack([line[hit], index.item[k], at[hit] - index.start[k]], 1)
+
+
 def passage_distance(item: np.ndarray, words: np.ndarray) -> int:
     """The smallest edit distance of ``item`` to any run of ``words`` (Sellers 1980)."""
     ramp = np.arange(len(words) + 1)

@@ -83,6 +83,29 @@ def test_recall_under_edits(rate, least):
     assert all(row == item for row, item in found)
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 6, 7, 10, 15, 20, 31, 32, 36, 48, 64, 100])
+def test_recall_of_each_size(size):
+    """Passages amid other words, as they are and with all the edits that 80 % allow."""
+    rng = random.Random(size)
+
+    def run(n):
+        return [f"w{rng.randrange(20000)}" for _ in range(n)]
+
+    items = [run(size) for _ in range(100)]
+    index = item_index(list(range(100)), [" ".join(i) for i in items], 80)
+    for edits in (0, size // 5):
+        texts = []
+        for item in items:
+            edited = list(item)
+            for _ in range(edits):
+                at, kind = rng.randrange(len(edited)), rng.randrange(3)
+                edited[at : at + (kind != 0)] = run(1) if kind != 1 else []
+            texts.append(" ".join(run(50) + edited + run(50)))
+        found = {(row, item) for row, item, _, _ in _passages(pa.array(texts), index)}
+        # Of short items none is lost; the walks may lose a few of the most edited.
+        assert sum((i, i) in found for i in range(100)) >= (100 if size < 32 or not edits else 97)
+
+
 ITEM = "One two three four five six seven eight nine ten eleven twelve"
 
 

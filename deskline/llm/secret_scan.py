@@ -13,11 +13,22 @@ from pyspark.sql import functions as F
 
 from deskline.functions.text import let
 
-# Characters of a candidate, at least.
-SHORTEST = 16
+# Characters of a run that is a candidate wherever it stands, and of a value that is
+# assigned or quoted, at least. Passwords in URLs have any length.
+SHORTEST, SHORTEST_VALUE = 16, 6
 _CANDIDATE = f"[A-Za-z0-9_+/.-]{{{SHORTEST},}}={{0,2}}"
 # Marks around a candidate are no part of it.
 _TRIM = r"\A[./-]+|[./-]+\z"
+# Values: a word is cut where another name follows; what comes after the name, in quotes
+# or up to the marks at its end; what is in quotes; the password of a URL.
+_NEXT_NAME = r"[,;&?](?=[\"'`]?[\w.-]++[\"'`]?[=:])"
+_AFTER_NAME = r"(?s)\A[^=:]*+[=:]++>?+(?!//)(.+)\z"
+_OPENED = r"(?s)\A([\"'`])(.+?)(?:\1|\z)"
+_END_MARKS = r"(?<![,;.\"'`])[,;.\"'`]++\z"
+_QUOTED = r"(?s)([\"'`])(.+?)\1[=:]?"
+_LOGIN = "://[^/:@]*+:([^/]+)@"
+# Not values themselves, but what follows them is one.
+_SCHEMES = ("bearer", "basic", "digest")
 
 # Words that names and prose are made of, and words near findings.
 DICTIONARY = (
@@ -54,31 +65,49 @@ FEATURES = (
     "quoted",
     "near_secret",
     "near_other",
+    "marks",
+    "brackets",
+    "value",
+    "login",
 )
 
 
 def secret_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id``, ``word`` (its number in the text), ``candidate`` and the features of each
-    run of at least 16 characters of keys and names.
+    """``id``, ``word`` (its number in the text), ``candidate`` and the features of what
+    may be a secret: each run of at least 16 characters of keys and names, each value of
+    at least 6 characters, whatever they are, that is quoted or assigned, and the password
+    of each URL.
 
     Words are what spaces, tabs and line ends separate; a word may hold several
-    candidates. Length, transitions between kinds of characters, how much of it common
-    words cover, marks of paths and URLs, and the two words before and the one after it
-    are its features. Null texts hold nothing, a null id stays null.
+    candidates, and a value without quotes ends before a mark and another name, and before
+    commas, points and semicolons at the end of the word. Length, transitions between
+    kinds of characters, how much of it common words cover, marks of paths and URLs, and
+    the two words before and the one after it are its features. Null texts hold nothing, a
+    null id stays null.
     """
     words = F.split(F.coalesce(F.col(text_col), F.lit("")), r"[ \t\r\n]+")
+
+    def assigns(word: Column) -> Column:
+        ends = [F.endswith(word, F.lit(mark)) for mark in ("=", ":", "=>")]
+        return F.coalesce(ends[0] | ends[1] | ends[2] | F.lower(word).isin(*_SCHEMES), F.lit(False))
+
+    def may_hold(w: Column, before: Column) -> Column:
+        marked = F.translate(w, "=:\"'`", "") != w
+        return (F.octet_length(w) >= SHORTEST) | ((F.octet_length(w) >= SHORTEST_VALUE) & (marked | assigns(before)))
+
     found = let(
         words,
         lambda held: F.filter(
             F.transform(
                 held,
                 lambda w, i: F.when(
-                    F.octet_length(w) >= SHORTEST,
+                    may_hold(w, F.get(held, i - 1)),
                     F.struct(
                         i.alias("word"),
                         w.alias("inside"),
                         F.concat_ws(" ", F.get(held, i - 2), F.get(held, i - 1)).alias("before"),
                         F.coalesce(F.get(held, i + 1), F.lit("")).alias("after"),
+                        assigns(F.get(held, i - 1)).alias("follows"),
                     ),
                 ),
             ),
@@ -86,11 +115,34 @@ def secret_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         ),
     )
     rows = docs.select(F.col(id_col).alias("id"), F.explode(found).alias("x")).select("id", "x.*")
-    rows = rows.withColumn("candidate", F.explode(F.regexp_extract_all("inside", F.lit(_CANDIDATE), F.lit(0))))
-    rows = rows.withColumn("candidate", F.regexp_replace("candidate", _TRIM, "")).where(F.length("candidate") >= SHORTEST)
+    rows = rows.withColumns({"runs": _runs(), "values": _values(), "logins": F.regexp_extract_all("inside", F.lit(_LOGIN), F.lit(1))})
+    rows = rows.withColumn("candidate", F.explode(F.concat("runs", F.array_except(F.concat("values", "logins"), "runs"))))
     return _featured(rows).select("id", "word", "candidate", *FEATURES)
 
 
+def _runs() -> Column:
+    found = F.regexp_extract_all("inside", F.lit(_CANDIDATE), F.lit(0))
+    trimmed = F.transform(found, lambda x: F.regexp_replace(x, _TRIM, ""))
+    return F.filter(trimmed, lambda x: F.length(x) >= SHORTEST)
+
+
+def _values() -> Column:
+    """What is assigned in ``inside``, or by the word before it, or quoted there."""
+
+    def bare(x: Column) -> Column:
+        opened = F.regexp_extract(x, _OPENED, 2)
+        return F.when(opened != "", opened).otherwise(F.regexp_replace(x, _END_MARKS, ""))
+
+    parts = F.split("inside", _NEXT_NAME)
+    assigned = F.transform(parts, lambda x: bare(F.regexp_extract(x, _AFTER_NAME, 1)))
+    following = F.when(F.col("follows"), F.array(bare(parts[0]))).otherwise(F.array().cast("array<string>"))
+    # What is quoted before a sign of assignment is a name.
+    quoted = F.filter(F.regexp_extract_all("inside", F.lit(_QUOTED), F.lit(0)), lambda x: ~x.rlike(r"[=:]\z"))
+    quoted = F.transform(quoted, lambda x: F.substring(x, F.lit(2), F.length(x) - 2))
+    found = F.concat(assigned, following, quoted)
+    return F.filter(found, lambda x: (F.length(x) >= SHORTEST_VALUE) & ~F.lower(x).isin(*_SCHEMES))
+
+
 def _featured(rows: DataFrame) -> DataFrame:
     text, size = F.col("candidate"), F.length("candidate")
 
@@ -100,8 +152,7 @@ def _featured(rows: DataFrame) -> DataFrame:
     longest_first = "|".join(sorted((w for w in DICTIONARY if len(w) > 3), key=len, reverse=True))
     uncovered = F.length(F.regexp_replace(F.lower(text), longest_first, ""))
     around = F.lower(F.concat_ws(" ", "before", F.regexp_replace("inside", _CANDIDATE, " ")))
-    names = F.lower(F.concat_ws(" ", "before", F.split("inside", "[=:]")[0]))
-    named = F.when(F.length(F.regexp_replace("inside", _CANDIDATE, "")) > 0, names).otherwise(F.lower("before"))
+    named = F.lower(F.concat_ws(" ", "before", F.expr("substring_index(inside, candidate, 1)")))
 
     def flag(condition: Column) -> Column:
         return condition.cast("double")
@@ -123,6 +174,10 @@ def _featured(rows: DataFrame) -> DataFrame:
             "quoted": flag(F.col("inside").rlike("[\"'`]")),
             "near_secret": flag(named.rlike(_SECRET_WORDS)),
             "near_other": flag(F.concat_ws(" ", named, F.lower("after")).rlike(_OTHER_WORDS)),
+            "marks": share("[^A-Za-z0-9_.+/=-]"),
+            "brackets": share(r"[<>{}()\[\]]"),
+            "value": flag(F.array_contains("values", text)),
+            "login": flag(F.array_contains("logins", text)),
         }
     )
 
@@ -146,26 +201,72 @@ def secret_scan(docs: DataFrame, forest: PipelineModel, id_col: str = "doc_id",
     return judged.select("id", "word", "candidate", score.alias("score")).withColumn("is_secret", F.col("score") >= threshold)
 
 
-def seed_findings(spark: SparkSession, rows: int = 1200) -> DataFrame:
-    """Labelled findings to start from, made by rule: keys of several kinds and shapes of
-    assignment, and the long strings that are taken for them. A user's own labelled
+def seed_findings(spark: SparkSession, rows: int = 2600) -> DataFrame:
+    """Labelled findings to start from, made by rule: keys and passwords of several kinds
+    and shapes of assignment, passwords in URLs, and the strings that are taken for them. A user's own labelled
     findings take their place."""
     n = F.col("id")
-    draw = F.sha2(F.concat(F.lit("finding-"), n.cast("string")), 256)
-    mixed = F.base64(F.unhex(F.sha2(F.concat(F.lit("mixed-"), n.cast("string")), 256)))
-    word = [F.element_at(F.array(*[F.lit(w) for w in DICTIONARY]), F.pmod(F.xxhash64(n, F.lit(k)), F.lit(len(DICTIONARY))).cast("int") + 1) for k in range(5)]
-    name = F.element_at(
-        F.array(*[F.lit(x) for x in ("token", "api_key", "secret", "password", "auth_token", "client_secret", "access-key")]),
-        F.pmod(F.xxhash64(n, F.lit("name")), F.lit(7)).cast("int") + 1,
+
+    def one_of(choices: list, salt: str | int) -> Column:
+        return F.element_at(F.array(*choices), F.pmod(F.xxhash64(n, F.lit(salt)), F.lit(len(choices))).cast("int") + 1)
+
+    def one_name(names: str, salt: str) -> Column:
+        return one_of([F.lit(x) for x in names.split()], salt)
+
+    # The parts are columns, as the shapes name them often.
+    table = spark.range(rows).select(
+        "id",
+        F.sha2(F.concat(F.lit("finding-"), n.cast("string")), 256).alias("draw"),
+        F.base64(F.unhex(F.sha2(F.concat(F.lit("mixed-"), n.cast("string")), 256))).alias("mixed"),
+        *[one_of([F.lit(w) for w in DICTIONARY], k).alias(f"word{k}") for k in range(5)],
+        one_name("token api_key secret password auth_token client_secret access-key", "name").alias("name"),
+        (F.pmod(F.xxhash64(n, F.lit("size")), F.lit(24)) + 20).cast("int").alias("size"),
+        one_name("commit sha256: checksum md5 revision uuid etag: digest", "other").alias("other"),
+        (F.pmod(F.xxhash64(n, F.lit("number")), F.lit(9000)) + 1000).cast("string").alias("number"),
+        one_name("! @ # $ % & * - _ ? ^ ~", "mark").alias("mark"),
+        one_name("password passwd pwd db_password secret api_key admin-pwd", "owner").alias("owner"),
+        one_name("postgres mysql redis https mongodb amqp ftp", "server").alias("server"),
+        one_name("version order room name color title model part file id", "plain").alias("plain"),
     )
-    size = F.pmod(F.xxhash64(n, F.lit("size")), F.lit(24)) + 20
-    hexes, keys = F.substring(draw, F.lit(1), size.cast("int")), F.substring(mixed, F.lit(1), size.cast("int"))
-    other = F.element_at(
-        F.array(*[F.lit(x) for x in ("commit", "sha256:", "checksum", "md5", "revision", "uuid", "etag:", "digest")]),
-        F.pmod(F.xxhash64(n, F.lit("other")), F.lit(8)).cast("int") + 1,
+    draw, mixed, name, other, number, mark, owner, server, plain = map(
+        F.col, ("draw", "mixed", "name", "other", "number", "mark", "owner", "server", "plain")
     )
+    word = [F.col(f"word{k}") for k in range(5)]
+    # Passwords of 8 and more characters.
+    passwords = [
+        F.concat(F.initcap(word[0]), mark, number),
+        F.substring(mixed, 1, 9),
+        F.concat(word[1], F.lit("2-"), number),
+        F.concat(F.substring(mixed, 3, 5), mark, F.substring(draw, 1, 4), F.lit("#$"), F.substring(mixed, 9, 6)),
+        F.concat(F.translate(F.initcap(word[2]), "aeo", "430"), F.substring(draw, 5, 3), mark, F.lit("3")),
+        F.concat(F.substring(mixed, 20, 3), mark, F.substring(draw, 9, 4)),
+    ]
+    table = table.withColumn("made", one_of(passwords, "made"))
+    made = F.col("made")
+    hexes, keys = F.substring(draw, F.lit(1), F.col("size")), F.substring(mixed, F.lit(1), F.col("size"))
     uuid = F.concat_ws("-", *[F.substring(draw, at, size) for at, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
     shapes = [
+        (1, F.concat(owner, F.lit(' = "'), made, F.lit('"'))),
+        (1, F.concat(F.lit("the "), owner, F.lit(": "), made, F.lit(" and more"))),
+        (1, F.concat(F.upper(owner), F.lit("="), made)),
+        (1, F.concat(F.lit('{"'), owner, F.lit('":'), F.lit('"'), made, F.lit('"}'))),
+        (1, F.concat(F.lit("set "), owner, F.lit("='"), made, F.lit("'; then"))),
+        (1, F.concat(server, F.lit("://"), word[3], F.lit(":"), made, F.lit("@"), word[4], F.lit(".example.com"))),
+        (1, F.concat(F.lit("open "), server, F.lit("://app:"), F.substring(mixed, 5, 8), F.lit("@host/"), word[3])),
+        (0, F.concat(owner, F.lit(": "), word[0], word[1])),
+        (0, F.concat(owner, F.lit(' = "'), F.initcap(word[0]), F.lit("-"), word[1], F.lit('"'))),
+        (0, F.concat(F.lit("the "), owner, F.lit(": required, "), owner, F.lit(": changed"))),
+        (0, F.concat(owner, F.lit("=<your-"), word[0], F.lit("> "), owner, F.lit("=${"), F.upper(word[1]), F.lit("_"), F.upper(word[2]), F.lit("}"))),
+        (0, F.concat(owner, F.lit(": "), F.repeat(F.lit("*"), 8), F.lit(" "), owner, F.lit("=get_"), word[0], F.lit("("), word[1], F.lit(")"))),
+        (0, F.concat(owner, F.lit(' = "'), F.repeat(F.substring(F.lit("*.x-#_"), F.pmod(n, F.lit(6)).cast("int") + 1, F.lit(1)), F.pmod(n, F.lit(7)).cast("int") + 6), F.lit('"'))),
+        (0, F.concat(F.lit('they say "'), word[0], word[1], F.lit("\" and '"), F.initcap(word[2]), word[3], F.lit("' here"))),
+        (0, F.concat(plain, F.lit(": "), made)),
+        (0, F.concat(plain, F.lit('="'), made, F.lit('" '), plain, F.lit("="), word[0], F.lit("-"), number)),
+        (0, F.concat(F.lit("note: "), word[0], word[1], F.lit(" at 12:30:"), number, F.lit(" date=2024-11-"), number)),
+        (0, F.concat(F.lit("mail: "), word[0], F.lit("."), word[1], F.lit("@example.com, tel: +49-30-"), number, number)),
+        (0, F.concat(F.lit("http://www.example.com:8080/"), word[0], F.lit("?page="), word[1], word[2], F.lit("&lang="), word[3], number)),
+        (0, F.concat(F.lit("as in "), server, F.lit("://user:password@localhost/"), word[0])),
+        (0, F.concat(F.lit("with "), server, F.lit("://"), word[0], F.lit(":<"), word[1], F.lit(">@host"))),
         (1, F.concat(F.lit("it says "), name, F.lit(' = "'), hexes, F.lit('" there'))),
         (1, F.concat(name, F.lit(": "), keys)),
         (1, F.concat(F.lit("export "), F.upper(name), F.lit("="), hexes)),
@@ -184,7 +285,6 @@ def seed_findings(spark: SparkSession, rows: int = 1200) -> DataFrame:
         (0, F.concat(F.lit("the "), F.concat(*word), F.lit(" token "), F.concat(*word[1:]), F.lit("-"), word[0])),
         (0, F.concat(word[0], F.lit(" "), F.repeat(F.lit("="), 30), F.lit(" "), F.repeat(F.lit("-"), 40), F.lit(" "), F.repeat(F.lit("_."), 20))),
     ]
-    table = spark.range(rows)
     kind = F.pmod(n, F.lit(len(shapes)))
     text, label = F.lit(None).cast("string"), F.lit(None).cast("int")
     for i, (secret, shape) in enumerate(shapes):

@@ -24,8 +24,8 @@ from deskline.functions.text import let
 _WORDS = 3
 # Bands of one MinHash value.
 BANDS = 48
-# N-grams of all templates together.
-MAX_TEMPLATE_NGRAMS = 50_000
+# N-grams of templates that are looked for at once, in the mean.
+BLOCK_NGRAMS = 50_000
 
 # Wordings of licence notices.
 NOTICES = {
@@ -42,10 +42,30 @@ NOTICES = {
     " provided that the following conditions are met",
 }
 
+# More licences, by wordings that hold none of the above: the oracle knows only those.
+MORE_NOTICES = {
+    "lgpl": "GNU Lesser General Public License",
+    "agpl": "GNU Affero General Public License",
+    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "epl-2.0": "made available under the terms of the Eclipse Public License 2.0",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is"
+    " hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "boost-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the"
+    " authors be held liable for any damages arising from the use of this software.",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "cc-by-4.0": "Licensed under CC BY 4.0.",
+    "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0.",
+    "cc-by-nd-4.0": "Licensed under CC BY-ND 4.0.",
+    "cc-by-name": "Creative Commons Attribution 4.0 International License",
+    "cc-by-sa-name": "Creative Commons Attribution-ShareAlike 4.0 International License",
+    "cc0-1.0": "CC0 1.0 Universal",
+}
+
 
 def notice_templates(spark: SparkSession) -> DataFrame:
     """The notices above as a table of templates."""
-    return spark.createDataFrame(list(NOTICES.items()), "license string, template string")
+    return spark.createDataFrame([*NOTICES.items(), *MORE_NOTICES.items()], "license string, template string")
 
 
 def license_scan(
@@ -62,10 +82,11 @@ def license_scan(
     ``first_word`` (where the first such window begins), for each id and licence found.
 
     Words are runs of letters and digits, with A-Z folded; an n-gram is three of them.
-    Documents are read once and no text is shuffled; what meets in a band is a row of
-    one window. Templates have at most 50,000 n-grams together (more are refused), so
-    they fit into the plan and their bands (48 times their size) are broadcast. Templates of fewer than three words, or null, are not looked
-    for; texts of fewer, or null, hold none. Rows with the same id are one document, a
+    No text is shuffled; what meets in a band is a row of one window. Templates are looked
+    for in blocks of about 50,000 n-grams, or of one larger template, so each block fits
+    into the plan and its bands (48 for each template) are broadcast; documents are read
+    once for each block. Templates of fewer than three words, or null, are not looked for;
+    texts of fewer, or null, hold none. Rows with the same id are one document, a
     null id stays null. Templates with the same text are each found.
     """
     # Templates first: few rows.
@@ -73,8 +94,21 @@ def license_scan(
     own = own.select("license", F.array_distinct("grams").alias("grams")).where(F.size("grams") > 0)
     own = own.withColumn("span", _power_of_two(2 * F.size("grams")))
     total = own.agg(F.sum(F.size("grams")).alias("n")).first().n or 0
-    if total > MAX_TEMPLATE_NGRAMS:
-        raise ValueError(f"templates have {total} n-grams, more than {MAX_TEMPLATE_NGRAMS}")
+    blocks = max(-(-total // BLOCK_NGRAMS), 1)
+    block = F.pmod(F.xxhash64("grams"), F.lit(blocks))
+    found = None
+    for i in range(blocks):
+        part = _found(docs, own.where(block == i) if blocks > 1 else own, id_col, text_col, percent)
+        found = part if found is None else found.union(part)
+    return (
+        found.groupBy("id", "license", "ngrams")
+        .agg(F.max("containment").alias("containment"), F.min("first_word").alias("first_word"))
+        .select("id", "license", "containment", "ngrams", "first_word")
+    )
+
+
+def _found(docs: DataFrame, own: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """The windows that hold a template of one block."""
     rows = own.select("grams", "span").collect()
     known = sorted({g for r in rows for g in r.grams})
     spans = sorted({r.span for r in rows})
@@ -97,9 +131,7 @@ def license_scan(
         signed.join(F.broadcast(bands), ["span", "band", "value"])
         .withColumn("containment", share)
         .where(100 * F.size(F.array_intersect("inside", "grams")) >= percent * F.size("grams"))
-        .groupBy("id", "license", F.size("grams").alias("ngrams"))
-        .agg(F.max("containment").alias("containment"), F.min("first_word").alias("first_word"))
-        .select("id", "license", "containment", "ngrams", "first_word")
+        .select("id", "license", F.size("grams").alias("ngrams"), "containment", "first_word")
     )
 
 

@@ -8,6 +8,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+import deskline.llm.license_scan as license_scan_module
 from deskline.llm.license_scan import NOTICES, license_scan, notice_templates
 from deskline.llm.queries import QUERIES, URL_RULES
 from deskline.llm.secret_scan import secret_candidates, secret_scan, seed_findings, train_secret_forest
@@ -166,6 +167,27 @@ def test_odd_licence_rows(spark):
     assert license_scan(docs, templates.where("false"), "key", "body", "name", "words").collect() == []
 
 
+def test_more_licences_are_known(spark):
+    held = {**NOTICES, **license_scan_module.MORE_NOTICES}
+    filler = " ".join(f"f{i}" for i in range(50))
+    docs = spark.createDataFrame([(name, f"{filler} {text} {filler}") for name, text in held.items()], "doc_id string, text string")
+    rows = license_scan(docs, notice_templates(spark)).collect()
+    assert {(r.id, r.license) for r in rows} == {(name, name) for name in held}
+    assert {"lgpl", "agpl", "mpl-2.0", "isc", "cc-by-4.0", "cc-by-sa-4.0"} <= set(held)
+
+
+def test_licence_templates_in_blocks(spark, monkeypatch):
+    """A table beyond a block is not refused, and gives what one block gives."""
+    names = [f"t{i}" for i in range(40)]
+    texts = [" ".join(f"w{i}x{k % 30}" for k in range(10 + 2 * i)) for i in range(40)]
+    templates = spark.createDataFrame([*zip(names, texts), ("t3", texts[3]), ("u3", texts[3])], "license string, template string")
+    docs = spark.createDataFrame([(i, f"before {texts[i]} then {texts[-i - 1]} after") for i in range(40)], "doc_id long, text string")
+    whole = sorted(map(tuple, license_scan(docs, templates).collect()))
+    monkeypatch.setattr(license_scan_module, "BLOCK_NGRAMS", 300)
+    assert sorted(map(tuple, license_scan(docs, templates).collect())) == whole
+    assert {(r[0], r[1]) for r in whole} >= {(i, f"t{i}") for i in range(40)} | {(3, "u3")}
+
+
 # -- secrets ---------------------------------------------------------------------
 
 

@@ -21,19 +21,25 @@ def process_interactions(
     threshold: float = FALLBACK_THRESHOLD,
 ) -> DataFrame:
     """One JSON ``record`` for each row of ``df``: its ``id`` (the ``key`` column, which
-    tells rows apart), ``channel``, ``clean_text``, ``intent``, ``confidence`` (six
+    tells rows apart, or null), ``channel``, ``clean_text``, ``intent``, ``confidence`` (six
     places), ``route`` and ``entities``, null where a row has none."""
     raw = df.select(
         F.col(f"`{key}`").alias("id"), F.col(f"`{channel_col}`").alias("channel"), F.col(f"`{in_col}`").alias("raw_text")
     )
     cleaned = extract_entities(clean_interactions(raw, email_config=email_config).drop("raw_text"))
-    predicted = predict_naive_bayes(model, cleaned, "id", "clean_text").drop("log_score")
-    routed = with_route(predicted, threshold).select(
-        "id",
-        F.col("predicted_intent").alias("intent"),
-        F.round("confidence", 6).alias("confidence"),
-        "route",
-    )
-    return to_records(
-        cleaned.join(routed, "id").select("id", "channel", "clean_text", "intent", "confidence", "route", "entities")
-    )
+
+    def routed(rows: DataFrame, key: str) -> DataFrame:
+        return with_route(predict_naive_bayes(model, rows, key, "clean_text").drop("log_score"), threshold).select(
+            key,
+            F.col("predicted_intent").alias("intent"),
+            F.round("confidence", 6).alias("confidence"),
+            "route",
+        )
+
+    # An intent hangs on the text alone: rows without an id are told apart by it.
+    named, nameless = cleaned.filter(F.col("id").isNotNull()), cleaned.filter(F.col("id").isNull())
+    texts = nameless.select("clean_text").filter(F.col("clean_text").isNotNull()).distinct()
+    nameless = nameless.join(routed(texts, "clean_text"), "clean_text", "left")
+    nameless = nameless.withColumn("route", F.coalesce("route", F.lit("fallback")))
+    shown = ("id", "channel", "clean_text", "intent", "confidence", "route", "entities")
+    return to_records(named.join(routed(named, "id"), "id").select(*shown).unionByName(nameless.select(*shown)))

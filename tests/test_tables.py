@@ -1,12 +1,13 @@
 """Table operators on small fixtures."""
 
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from deskline.operators import labels, profile, records, rows
-from deskline.plans import intent_baseline, synthetic, training
+from deskline.plans import intent_baseline, interactions, synthetic, training
 from deskline.sources.shared import shared_folder
 from deskline.sources.tables import NA_VALUES, read_csv, read_labelled, read_splits, write_csv, write_table
 
@@ -428,3 +429,17 @@ def test_classifiers_bear_missing_texts(spark):
     assert scored[3].predicted_intent is None and scored[3].confidence is None
     assert all(0 < scored[k].confidence <= 1 for k in (1, 2, 4, 5))
     assert {r.route for r in records.with_route(rows_out.where("k = 3")).collect()} == {"fallback"}
+
+
+def test_interactions_without_an_id_keep_their_records(spark):
+    training_rows = [("where is my order", "a"), ("track the order", "a"), ("please send an invoice", "b")]
+    model = intent_baseline.train_naive_bayes(spark.createDataFrame(training_rows, "text string, intent string"), ["a", "b"])
+    texts = [("1", "chat", "Customer: where is my order"), (None, "chat", "Customer: where is my order"), (None, "chat", "Customer: where is my order"),
+             (None, "chat", "Customer: send an invoice"), (None, "fax", "unknown channel"), (None, "chat", None), ("2", "fax", "x")]
+    df = spark.createDataFrame(texts, "text_id string, channel string, raw_text string")
+    found = [json.loads(r.record) for r in interactions.process_interactions(df, model, "text_id").collect()]
+    assert len(found) == len(texts)
+    orders = [{**r, "id": None} for r in found if "order" in (r.get("clean_text") or "")]
+    assert len(orders) == 3 and orders[0] == orders[1] == orders[2] and orders[0]["intent"] == "a"
+    assert [r["intent"] for r in found if "invoice" in (r.get("clean_text") or "")] == ["b"]
+    assert all(r["route"] in ("accepted", "fallback") for r in found)

@@ -55,5 +55,30 @@ SELECT doc_id,
        md5(coalesce(text, '')) AS content_hash
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+    "op12_fill_in_middle": """
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+    FROM documents
+),
+drawn AS (
+    SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS y,
+           CAST('0x' || h[17:24] AS BIGINT) % 100 AS third, CAST('0x' || h[25:32] AS BIGINT) % 100 AS fourth
+    FROM texts
+),
+formed AS (
+    SELECT *, least(x, y) AS a, greatest(x, y) AS b,
+           CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR third >= 90 THEN 'plain'
+                WHEN fourth < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn
+),
+parts AS (SELECT *, left(t, a) AS prefix, substring(t, a + 1, b - a) AS middle, substring(t, b + 1) AS suffix FROM formed)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE t END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
 """,
 }

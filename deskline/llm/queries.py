@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from deskline.llm.common import fold
 from deskline.llm.decontamination import find_benchmark_passages
 from deskline.llm.exact_dedup import exact_dedup
+from deskline.llm.fill_in_middle import fill_in_middle, restored_text
 from deskline.llm.license_scan import license_scan, notice_templates
 from deskline.llm.ngram_jaccard import ngram_jaccard_join
 from deskline.llm.ngram_lm import score_texts, train_bigram_model
 from deskline.llm.packing import pack, tokenized_pieces
+from deskline.llm.personal_data import KINDS, find_personal_data
 from deskline.llm.secret_scan import secret_scan, seed_findings, train_secret_forest
 from deskline.llm.token_counts import apply_edits, build_token_trees
 from deskline.llm.url_filter import UrlRule, filter_urls, seed_urls, train_url_filter
 from deskline.llm.toxicity import toxicity, train_toxicity
+from deskline.llm.whitening import fit_whitening, whiten
 
 QUERIES = {}
 
@@ -149,3 +152,44 @@ def op9_best_fit_packing(spark, d):
 def op10_ngram_jaccard(spark, d):
     found = ngram_jaccard_join(table(spark, d, "documents"), words=3, percent=90)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query
+def op11_personal_data(spark, d):
+    found = find_personal_data(table(spark, d, "documents"))
+    plain = F.filter("spans", lambda s: s["plain"])
+
+    def listed(spans):
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])))
+
+    def count(spans, kind):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[count(plain, kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(listed(plain), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+        *[count(F.col("spans"), kind).alias(f"all_{kind}") for kind in KINDS],
+        F.sha2("masked", 256).alias("masked_sha256"),
+    )
+
+
+@query
+def op12_fill_in_middle(spark, d):
+    made = fill_in_middle(table(spark, d, "documents"))
+    return made.select(
+        F.col("id").alias("doc_id"),
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored_text("output", "form"), 256).alias("restored_sha256"),
+    )
+
+
+@query
+def op13_embedding_whitening(spark, d):
+    vectors = table(spark, d, "embeddings").select("vec_id", "embedding")
+    return whiten(vectors, fit_whitening(vectors)).withColumnRenamed("id", "vec_id")

@@ -31,6 +31,10 @@ class Projection:
         self._df = self._df.select("*", F.explode(F.array(value)).alias(name))
         return F.col(name)
 
+    def select(self, *columns: Column) -> DataFrame:
+        """The frame with these columns, which may name bound values."""
+        return self._df.select(*columns)
+
     def result(self, out_col: str, value: Column) -> DataFrame:
         """The frame's own columns and ``value`` as ``out_col``."""
         value = self.bind(value)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from deskline.operators.channels import clean_interactions
 from deskline.operators.email import EmailConfig
 from deskline.operators.records import FALLBACK_THRESHOLD, extract_entities, to_records, with_route
-from deskline.plans.intent_baseline import NaiveBayes, predict_naive_bayes
+from deskline.plans.intent_baseline import NaiveBayes, with_intents
 
 
 def process_interactions(
@@ -20,26 +20,17 @@ def process_interactions(
     email_config: EmailConfig | None = None,
     threshold: float = FALLBACK_THRESHOLD,
 ) -> DataFrame:
-    """One JSON ``record`` for each row of ``df``: its ``id`` (the ``key`` column, which
-    tells rows apart, or null), ``channel``, ``clean_text``, ``intent``, ``confidence`` (six
-    places), ``route`` and ``entities``, null where a row has none."""
+    """One JSON ``record`` for each row of ``df``: its ``id`` (the ``key`` column, which may
+    be null or repeated), ``channel``, ``clean_text``, ``intent``, ``confidence`` (six
+    places), ``route`` and ``entities``, null where a row has none.
+
+    One pass: each text is cleaned, searched and judged where it is, and nothing is
+    shuffled, unless the model has rare words (see :func:`with_intents`).
+    """
     raw = df.select(
         F.col(f"`{key}`").alias("id"), F.col(f"`{channel_col}`").alias("channel"), F.col(f"`{in_col}`").alias("raw_text")
     )
     cleaned = extract_entities(clean_interactions(raw, email_config=email_config).drop("raw_text"))
-
-    def routed(rows: DataFrame, key: str) -> DataFrame:
-        return with_route(predict_naive_bayes(model, rows, key, "clean_text").drop("log_score"), threshold).select(
-            key,
-            F.col("predicted_intent").alias("intent"),
-            F.round("confidence", 6).alias("confidence"),
-            "route",
-        )
-
-    # An intent hangs on the text alone: rows without an id are told apart by it.
-    named, nameless = cleaned.filter(F.col("id").isNotNull()), cleaned.filter(F.col("id").isNull())
-    texts = nameless.select("clean_text").filter(F.col("clean_text").isNotNull()).distinct()
-    nameless = nameless.join(routed(texts, "clean_text"), "clean_text", "left")
-    nameless = nameless.withColumn("route", F.coalesce("route", F.lit("fallback")))
-    shown = ("id", "channel", "clean_text", "intent", "confidence", "route", "entities")
-    return to_records(named.join(routed(named, "id"), "id").select(*shown).unionByName(nameless.select(*shown)))
+    judged = with_intents(model, cleaned, "clean_text", ("intent", "log_score", "confidence"))
+    routed = with_route(judged, threshold).withColumn("confidence", F.round("confidence", 6))
+    return to_records(routed.select("id", "channel", "clean_text", "intent", "confidence", "route", "entities"))

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from deskline.functions.names import quoted
 from deskline.operators.rows import stack
+from deskline.sources.csv_ranges import read_csv_ranges
 
 # Cells read as missing where a caller asks for it (fixed values).
 NA_VALUES = (
@@ -53,11 +55,15 @@ def read_csv(
     whitespace. An empty cell is missing; so are the words in ``na_values``
     (``NA_VALUES`` for the usual ones).
 
-    A file whose texts may hold newlines is read by one task: keep files small, as
-    ``write_csv`` does, or use parquet. With ``multi_line=False`` a line is a row, and
-    files of any size are split.
+    Files of any size are split. Where texts may hold newlines, the lines are first
+    looked through to tell where rows begin (see :func:`read_csv_ranges`), so the file
+    is read three times, twice at once; the rows come in no order. With
+    ``multi_line=False`` a line is a row.
     """
-    df = spark.read.options(**_CSV_OPTIONS, multiLine=multi_line).schema(schema).csv(path)
+    if multi_line:
+        df = read_csv_ranges(spark, path, _ddl(schema), _CSV_OPTIONS)
+    else:
+        df = spark.read.options(**_CSV_OPTIONS).schema(schema).csv(path)
     if not na_values:
         return df
     missing = list(na_values)
@@ -71,9 +77,15 @@ def read_csv(
     )
 
 
+def _ddl(schema: T.StructType | str) -> str:
+    if isinstance(schema, str):
+        return schema
+    return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
+
+
 def write_csv(df: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
     """Write CSV files with a header and no index; the folder is created or replaced.
-    Files are kept small, since each is later read by one task."""
+    Files are kept small for readers that do not split them."""
     (
         df.write.mode("overwrite")
         .options(**_CSV_OPTIONS, quoteAll=True, maxRecordsPerFile=rows_per_file)

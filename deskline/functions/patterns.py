@@ -211,13 +211,14 @@ EMAIL_ADDRESS = TEXT + (
 )
 # Every phone number and freight id holds a run of this many digits.
 FOUR_DIGITS = TEXT + rf"{D}{{4}}"
-PHONE = TEXT + (
+_PHONE = (
     rf"(?=[+({D}])(?<![{D}{_HIGH_DIGIT}])(?:\+?1[\s\x1c-\x1f.\-]?)?(?:\(?{D}{{3}}\)?[\s\x1c-\x1f.\-]?)?"
     rf"{D}{{3}}[\s\x1c-\x1f.\-]?{D}{{4}}(?!{D})"
 )
-EQUIPMENT_ID = TEXT + rf"(?=[A-Z]){LEFT}[A-Z]{{2,4}}{S}?{D}{{6}}{RIGHT}"
-ORDER_NUMBER = ANYCASE + rf"{_one_of('spwb')}{LEFT}(?:SO|PO|WB|BO)-{D}{{4}}-{D}{{4,6}}{RIGHT}"
-WAYBILL = TEXT + rf"(?={D}){LEFT}{D}{{7,10}}{RIGHT}"
+_EQUIPMENT = rf"(?=[A-Z]){LEFT}[A-Z]{{2,4}}{S}?{D}{{6}}{RIGHT}"
+_ORDER = rf"{_one_of('spwb')}{LEFT}(?:SO|PO|WB|BO)-{D}{{4}}-{D}{{4,6}}{RIGHT}"
+_WAYBILL = rf"(?={D}){LEFT}{D}{{7,10}}{RIGHT}"
+PHONE, EQUIPMENT_ID, ORDER_NUMBER, WAYBILL = TEXT + _PHONE, TEXT + _EQUIPMENT, ANYCASE + _ORDER, TEXT + _WAYBILL
 
 EMAIL_MASK = "[EMAIL]"
 PHONE_MASK = "[PHONE]"
@@ -227,8 +228,15 @@ WAYBILL_MASK = "[WAYBILL]"
 URL_MASK = "[URL]"
 
 # A weight as written in a message; ours.
-WEIGHT = ANYCASE + (
-    rf"(?={D}){LEFT}{D}[{D},]*+(?:\.{D}++)?+{S}?(?:lbs?|pounds?|kgs?|kilograms?|tons?|tonnes?){RIGHT}"
+_WEIGHT = rf"(?={D}){LEFT}{D}[{D},]*+(?:\.{D}++)?+{S}?(?:lbs?|pounds?|kgs?|kilograms?|tons?|tonnes?){RIGHT}"
+WEIGHT = ANYCASE + _WEIGHT
+
+# Any entity: the leftmost, and of those that begin at one place the first kind named here.
+# Group 1 is what goes before an address in its run, the others are the kinds.
+ENTITY_KINDS = ("email", "equipment_id", "order_number", "weight", "phone", "waybill")
+ENTITY = TEXT + (
+    rf"(?<![{_LOCAL_CHARS}])(?={_LOCAL}++@)({_TO_ADDRESS})({_ADDRESS})"
+    rf"|({_EQUIPMENT})|((?i:{_ORDER}))|((?i:{_WEIGHT}))|({_PHONE})|({_WAYBILL})"
 )
 
 # ---------------------------------------------------------------------------

@@ -56,8 +56,11 @@ def is_ascii(text: Column) -> Column:
 def may_contain_any(text: Column, needles: tuple[str, ...]) -> Column:
     """False only if the text holds none of the needles, lower-case ASCII words, in any
     case. Beside the letters themselves, four characters fold to ASCII ones."""
-    folded = F.lower(F.translate(text, "\u0130\u0131\u017f\u212a", "iisk"))
-    return let(folded, lambda lowered: contains_any(lowered, needles))
+
+    def folded(t: Column) -> Column:
+        return F.lower(F.when(is_ascii(t), t).otherwise(F.translate(t, "\u0130\u0131\u017f\u212a", "iisk")))
+
+    return let(text, lambda t: let(folded(t), lambda lowered: contains_any(lowered, needles)))
 
 
 def strip(text: Column) -> Column:

@@ -471,6 +471,8 @@ SQL = {
         SELECT text, doc_id, lang FROM documents
         QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id, lang) = 1""",
     "seeded_shuffle": "SELECT text, lang FROM documents",
+    "shuffled_positions": """
+        SELECT doc_id, lang, row_number() OVER (ORDER BY md5('42' || chr(31) || doc_id), doc_id) - 1 AS position FROM documents""",
     "word_stats": f"""
         SELECT lang, avg({WORDS}) AS avg_words, min({WORDS}) AS min_words, max({WORDS}) AS max_words
         FROM documents GROUP BY lang""",
@@ -503,7 +505,7 @@ SQL = {
         WITH {naive_bayes("SELECT conv_id || '-' || turn AS id, text FROM conversations")}
         SELECT texts.id AS turn_id, predicted_intent, log_score, round(confidence, 6) AS confidence
         FROM texts LEFT JOIN judged USING (id)""",
-    "intent_regression": "SELECT count(*) AS rows, count(text) AS scored FROM conversations",
+    "intent_regression": "SELECT count(*) AS rows, count(text) AS scored, count(*) AS routed FROM conversations",
     "interaction_pipeline": f"""
         WITH cleaned AS MATERIALIZED ({MIXED}),
         {naive_bayes('SELECT text_id AS id, clean_text AS text FROM cleaned')},

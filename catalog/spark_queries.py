@@ -324,6 +324,11 @@ def seeded_shuffle(spark, d):
     return rows.seeded_shuffle(table(spark, d, "documents").select("text", "lang"))
 
 
+@query
+def shuffled_positions(spark, d):
+    return rows.shuffled_positions(table(spark, d, "documents").select("doc_id", "lang"), ["doc_id"])
+
+
 # -- profiles ---------------------------------------------------------------
 
 
@@ -418,6 +423,22 @@ def entities_documents(spark, d):
     return records.extract_entities(documents, "text").select("doc_id", *joined_entities())
 
 
+def listed_spans():
+    each = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"], s["value"]))
+    return F.array_join(each, "|").alias("spans")
+
+
+@query
+def entity_spans(spark, d):
+    return records.entity_spans(cleaned_emails(spark, d)).select("msg_id", listed_spans())
+
+
+@query
+def entity_spans_documents(spark, d):
+    documents = table(spark, d, "documents").select("doc_id", "text")
+    return records.entity_spans(documents, "text").select("doc_id", listed_spans())
+
+
 def scored_events(spark, d):
     """Events with a confidence, a missing one, or one that is not a number."""
     confidence = F.when(F.col("event_type") == "view", F.lit(float("nan"))).when(
@@ -466,11 +487,14 @@ def intent_baseline(spark, d):
 
 @query
 def intent_regression(spark, d):
-    """Facts that hold for any fit: rows, and rows with a confidence and an intent."""
-    model = train_intent_baseline(merged(spark, d), features=1 << 12, iterations=5)
-    scored = predict_intents(model, turns(spark, d))
+    """Facts that hold for any fit: rows, those with a confidence and an intent, and those
+    on the route that their confidence asks for, of both routes together."""
+    model = train_intent_baseline(merged(spark, d))
+    scored = records.with_route(predict_intents(model, turns(spark, d)))
     sure = F.col("confidence").between(1e-9, 1) & F.col("predicted_intent").isin(list(labels.INTENTS))
-    return scored.agg(F.count("*").alias("rows"), F.count_if(sure).alias("scored"))
+    accepted = F.coalesce(F.col("confidence") >= records.FALLBACK_THRESHOLD, F.lit(False))
+    routed = F.when(accepted, "accepted").otherwise("fallback") == F.col("route")
+    return scored.agg(F.count("*").alias("rows"), F.count_if(sure).alias("scored"), F.count_if(routed).alias("routed"))
 
 
 @query

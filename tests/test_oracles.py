@@ -50,7 +50,8 @@ def test_query_equals_oracle(spark, duck, name):
 
 
 def test_every_own_query_has_an_oracle():
-    assert set(QUERIES) == set(SQL)
+    # DuckDB's patterns cannot look behind; the spans are compared in test_spans.py.
+    assert set(QUERIES) - {"entity_spans", "entity_spans_documents"} == set(SQL)
 
 
 def test_entry(spark):

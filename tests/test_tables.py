@@ -1,7 +1,10 @@
 """Table operators on small fixtures."""
 
 import json
+import math
 import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -343,7 +346,7 @@ def test_csv_of_single_lines_is_split(spark):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
     try:
         split, whole = (read_csv(spark, path, df.schema, multi_line=m) for m in (False, True))
-        assert split.rdd.getNumPartitions() > 3 and whole.rdd.getNumPartitions() == 1
+        assert split.rdd.getNumPartitions() > 3 and whole.rdd.getNumPartitions() > 3
         assert split.count() == whole.count() == 20_000
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
@@ -431,6 +434,84 @@ def test_classifiers_bear_missing_texts(spark):
     assert {r.route for r in records.with_route(rows_out.where("k = 3")).collect()} == {"fallback"}
 
 
+def judged_plainly(training, intents, texts):
+    """Naive Bayes with plain dictionaries: (intent, score) of every text."""
+    words = lambda text: [w for w in re.split(r"[^\w]+", text.lower()) if w]
+    known = [(t, i) for t, i in training if i in intents]
+    counts = {i: Counter(w for t, k in known if k == i for w in words(t)) for i in {i for _, i in known}}
+    vocabulary = len(set().union(*counts.values()))
+    found = []
+    for text in texts:
+        scores = {}
+        for i, own in counts.items():
+            score = math.log(sum(k == i for _, k in known) / len(known))
+            for w in words(text):
+                if any(w in c for c in counts.values()):
+                    score += math.log((own[w] + 1) / (sum(own.values()) + vocabulary))
+            scores[i] = round(score, 4)
+        best = max(scores.values())
+        found.append((min(i for i, s in scores.items() if s == best), best))
+    return found
+
+
+@pytest.mark.parametrize("common_words", [100_000, 5, 0])
+def test_common_and_rare_words_give_the_same_scores(spark, common_words, monkeypatch):
+    rnd = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(60)] + ["x" * 100]
+    said = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(n))
+    training_rows = [(said(8), rnd.choice("abc")) for _ in range(40)] + [("hot hot", "a")]
+    # One word that every text holds, and one that is in no lesson.
+    texts = [f"hot never {said(rnd.randint(0, 12))}" for _ in range(200)] + ["", "never seen"]
+    monkeypatch.setattr(intent_baseline, "COMMON_WORDS", 3)
+    model = intent_baseline.train_naive_bayes(spark.createDataFrame(training_rows, "text string, intent string"), ["a", "b", "c"], common_words)
+    assert model.rare is not None and len(model.common[0]) == min(common_words, model.vocabulary - 1)
+    df = spark.createDataFrame([(1, t, "kept") for t in texts] + [(2, None, None)], "id int, text string, confidence string")
+    found = intent_baseline.with_intents(model, df)
+    assert found.columns == ["id", "text", "predicted_intent", "log_score", "confidence"]
+    rows_out = found.collect()
+    assert len(rows_out) == len(df.collect())
+    by_text = {r.text: r for r in rows_out}
+    assert by_text[None].predicted_intent is None and by_text[None].confidence is None
+    for text, (intent, score) in zip(texts, judged_plainly(training_rows, "abc", texts)):
+        assert by_text[text].log_score == pytest.approx(score, abs=2e-4)
+        assert by_text[text].predicted_intent == intent
+
+
+def test_interactions_are_cleaned_once(spark):
+    training_rows = [("where is my order", "a"), ("please send an invoice", "b")]
+    model = intent_baseline.train_naive_bayes(spark.createDataFrame(training_rows, "text string, intent string"), ["a", "b"])
+    df = spark.createDataFrame([("1", "chat", "x")], "text_id string, channel string, raw_text string").repartition(2)
+    plan = interactions.process_interactions(df, model, "text_id")._jdf.queryExecution().optimizedPlan().toString()
+    # Two for the characters of texts, one for the words.
+    assert plan.count("ArrowEvalPython") == 3
+    assert "Join" not in plan and "Aggregate" not in plan
+
+
+def test_interactions_with_repeated_ids(spark):
+    training_rows = [("where is my order", "a"), ("please send an invoice", "b")]
+    model = intent_baseline.train_naive_bayes(spark.createDataFrame(training_rows, "text string, intent string"), ["a", "b"])
+    texts = [("1", "chat", "Customer: where is it"), ("1", "chat", "Customer: send an invoice"), ("2", "chat", "Customer: order"), ("2", "chat", "Customer: order")]
+    df = spark.createDataFrame(texts, "text_id string, channel string, raw_text string")
+    found = [json.loads(r.record) for r in interactions.process_interactions(df, model, "text_id").collect()]
+    assert sorted((r["id"], r["clean_text"], r["intent"]) for r in found) == [
+        ("1", "send an invoice", "b"), ("1", "where is it", "a"), ("2", "order", "a"), ("2", "order", "a"),
+    ]
+
+
+def test_shuffled_positions_follow_the_shuffle(spark):
+    df = spark.createDataFrame([(i % 40, i // 40, "x") for i in range(500)], "a int, b int, position string")
+    shuffled = [(r.a, r.b) for r in rows.seeded_shuffle(df, 5, ["a", "b"]).collect()]
+    placed = rows.shuffled_positions(df.repartition(7), ["a", "b"], 5).collect()
+    assert [(r.a, r.b) for r in sorted(placed, key=lambda r: r.position)] == shuffled
+    assert sorted(r.position for r in placed) == list(range(500))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    assert [(r.a, r.b) for r in rows.seeded_shuffle(df, 5, ["a", "b"]).collect()] == shuffled
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert shuffled != [(r.a, r.b) for r in rows.seeded_shuffle(df, 6, ["a", "b"]).collect()]
+    assert rows.shuffled_positions(df.limit(0), ["a"]).collect() == []
+
+
 def test_interactions_without_an_id_keep_their_records(spark):
     training_rows = [("where is my order", "a"), ("track the order", "a"), ("please send an invoice", "b")]
     model = intent_baseline.train_naive_bayes(spark.createDataFrame(training_rows, "text string, intent string"), ["a", "b"])

@@ -35,10 +35,10 @@ Span = tuple[int, int]
 _LOCAL = "".join(chr(c) for c in range(128) if chr(c).isalnum()) + "._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 # Runs of digits; group 1 is there where four of them make up an address.
-_IP = re.compile(r"[0-9]++(\.[0-9]++\.[0-9]++\.[0-9]++)?+")
+_IP = re.compile(r"[0-9][0-9]*+(\.[0-9]++\.[0-9]++\.[0-9]++)?+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_NOT_DIGITS = re.compile("[^0-9]+")
+_DIGIT, _NOT_DIGITS = re.compile("[0-9]"), re.compile("[^0-9]+")
 
 
 def emails(text: str) -> list[Span]:
@@ -67,10 +67,13 @@ def identifiers(text: str) -> list[tuple[str, int, int]]:
     """``(kind, start, end)`` of the plain identifiers, leftmost and without overlap
     within a kind, in the order of ``start`` and then of :data:`KINDS`."""
     found = [("email", s, e) for s, e in emails(text)]
-    for m in _IP.finditer(text):
+    digit = _DIGIT.search(text)
+    if not digit:
+        return found
+    for m in _IP.finditer(text, digit.start()):
         if m[1] and all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split(".")):
             found.append(("ip", m.start(), m.end()))
-    for m in _CARD.finditer(text):
+    for m in _CARD.finditer(text, digit.start()):
         digits = m[0].replace(" ", "").replace("-", "")
         if 12 <= len(digits) <= 19 and _luhn(digits):
             found.append(("card", m.start(), m.end()))
@@ -127,8 +130,7 @@ class Folded:
     def __init__(self, source: str):
         alike = _look_alikes()
         self.text = source.translate(alike.table)
-        codes = np.frombuffer(source.encode("utf-32-le", "surrogatepass"), "<u4")
-        self.ends = np.cumsum(alike.lengths[codes], dtype=np.int64)
+        self.ends = np.cumsum(alike.lengths[_codes(source)], dtype=np.int64)
 
     def back(self, start: int, end: int) -> Span:
         return int(np.searchsorted(self.ends, start, "right")), int(np.searchsorted(self.ends, end - 1, "right")) + 1
@@ -148,9 +150,9 @@ _HOMOGLYPHS = {
 
 def _look_alikes() -> types.ModuleType:
     """``table``: what each look-alike stands for; ``lengths``: how many characters any
-    character becomes; ``any``: a pattern for one. Made once by each worker."""
+    character becomes; ``alike``: whether it is one. Made once by each worker."""
     shared = sys.modules.setdefault("_deskline_look_alikes", types.ModuleType("_deskline_look_alikes"))
-    if hasattr(shared, "any"):
+    if hasattr(shared, "alike"):
         return shared
     table = {}
     for code in (*range(0x80, 0xD800), *range(0xE000, 0x10000), *range(0x1D400, 0x1D800), *range(0x1F100, 0x1F200), *range(0x1FBF0, 0x1FBFA)):
@@ -167,14 +169,17 @@ def _look_alikes() -> types.ModuleType:
         elif plain.isascii() and plain.isprintable():
             table[code] = plain
     table.update({ord(c): plain for plain, like in _HOMOGLYPHS.items() for c in like})
-    lengths = np.ones(0x110000, np.uint8)
+    lengths, alike = np.ones(0x110000, np.uint8), np.zeros(0x110000, bool)
     for code, plain in table.items():
-        lengths[code] = len(plain)
-    shared.table, shared.lengths = table, lengths
-    shared.any = re.compile("[" + "".join(map(re.escape, map(chr, sorted(table)))) + "]")
+        lengths[code], alike[code] = len(plain), True
+    shared.table, shared.lengths, shared.alike = table, lengths, alike
     return shared
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
 # How "@" and "." are written out. Some are everyday words and count only
 # in brackets or before the last part of a domain.
 _AT_WORDS = ("at", "arroba", "arobase", "klammeraffe")
@@ -201,7 +206,9 @@ _MARKS = re.compile(
       (?P<domain>{_LABEL}(?:(?:\.|{_SPACED_DOT}|{_BOXED_DOT}|{_CODED_DOT}){_LABEL}){{1,9}})
     """
 )
-_MARK_SIGNS = ("dot", *_DOT_WORDS[1:], *_AT_WORDS[1:], "[at", "(at", "{at", "<at", "[ at", "( at", "&#", "%40", "&commat", "&period", " @", "@ ", "[@", "(@", "[.", "(.")
+# Words, and marks with what has to be behind them, without which there is no disguise.
+_MARK_WORDS = (*_DOT_WORDS, *_AT_WORDS[1:])
+_MARK_SIGNS = re.compile(r"[\[({<]\s{0,3}(?:@|\.|at)|&(?:\#|commat|period)|%40|\s@|@\s")
 _DISGUISED_DOT = re.compile(rf"(?i){_SPACED_DOT}|{_BOXED_DOT}|{_CODED_DOT}")
 _NAME_BEFORE = re.compile(r"[A-Za-z]+$")
 
@@ -213,7 +220,7 @@ def marks(text: str) -> list[tuple[int, int, str]]:
     words such as "us": "look at example.com" and "visit us at example dot com" are prose.
     """
     low = text.lower()
-    if not any(sign in low for sign in _MARK_SIGNS):
+    if not any(word in low for word in _MARK_WORDS) and not (any(sign in low for sign in "[({<&%@") and _MARK_SIGNS.search(low)):
         return []
     found, at = [], 0
     while m := _MARKS.search(text, at):
@@ -243,19 +250,36 @@ _TIMES = {"double": 2, "triple": 3}
 _WORD = "|".join(sorted(_DIGIT_OF, key=len, reverse=True))
 _BETWEEN = r"[\s,;/_.-]{1,3}"
 _ITEM = rf"(?:(?:double|triple)\s{{1,3}})?(?:{_WORD})\b"
-_TWO_SPELLED = re.compile(rf"\b{_ITEM}{_BETWEEN}(?:{_ITEM}|[0-9])|[0-9]{_BETWEEN}{_ITEM}")
 _RUN = re.compile(rf"(?i)\b(?P<plus>plus{_BETWEEN})?(?P<items>(?:{_ITEM}|[0-9]++)(?:{_BETWEEN}(?:{_ITEM}|[0-9]++))+)")
 _ONE_ITEM = re.compile(rf"(?i)(?:(?P<times>double|triple)\s{{1,3}})?(?P<word>{_WORD})\b|(?P<digits>[0-9]+)")
-_MIXED = re.compile(r"[0-9][OoIl]|[OoIl][0-9]")
+_MIXED = re.compile(r"[0-9](?:(?=[OoIl])|(?<=[OoIl].))")
 _DIGIT_LIKE = re.compile(r"(?<![A-Za-z0-9])[0-9OoIl]++(?:[\x20.()-]{0,2}[0-9OoIl]++)*+")
 _TOKEN = re.compile("[0-9OoIl]+")
 _LIKE = str.maketrans("OoIl", "0011")
 
 
+def _may_spell(text: str) -> bool:
+    """Whether a spelled digit has another digit beside it."""
+    low = text.lower()
+    for mark in ",;/_.-":
+        if mark in low:
+            low = low.replace(mark, " ")
+    words = low.split()
+    if _DIGIT_OF.keys().isdisjoint(words):
+        return False
+    before = digit = False
+    for word in words:
+        now = word in _DIGIT_OF
+        if before and (now or word[0].isdigit() or word in _TIMES) or now and digit:
+            return True
+        before, digit = now, word[-1].isdigit()
+    return False
+
+
 def spelled(text: str) -> list[tuple[int, int, str]]:
     """Edits that put digits for runs of spelled ones, and join them; "plus" in front
     becomes "+". A word by itself stays."""
-    if not _TWO_SPELLED.search(text.lower()):
+    if not _may_spell(text):
         return []
     found = []
     for run in _RUN.finditer(text):
@@ -300,7 +324,7 @@ def disguised(text: str, plain: list[tuple[str, int, int]]) -> list[tuple[str, i
     that meets a plain one of its kind is left out, unless it covers it and more."""
     way: list[Folded | Edits] = []
     now = text
-    if not text.isascii() and _look_alikes().any.search(text):
+    if not text.isascii() and _look_alikes().alike[_codes(text)].any():
         way.append(Folded(text))
         now = way[-1].text
     for transducer in (marks, letters_for_digits, spelled):

@@ -51,21 +51,20 @@ def drop_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest"
 ) -> DataFrame:
     """The rows of ``docs`` that :func:`exact_dedup` keeps, one for each text, with all
-    their columns. Of rows equal in id and text any one stays."""
+    their columns. Of rows equal in id and text any one stays.
 
-    def key(sha: Column, row_id: Column) -> Column:
-        return F.concat(sha, F.coalesce(F.concat(F.lit(":"), row_id.cast("string")), F.lit("")))
-
-    name = fresh(docs, "row_key")
-    kept = (
-        exact_dedup(docs, id_col, text_col, keep)
-        .where("kept")
-        .select(key(F.col("text_sha256"), F.col("id")).alias(name))
-    )
-    sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
-    keyed = docs.withColumn(name, key(sha, F.col(id_col)))
-    # Both steps use the same key, so the rows are shuffled once.
-    return keyed.join(kept, name, "left_semi").dropDuplicates([name]).drop(name)
+    One grouping by hash and text: each task keeps one row of the copies it has met, and
+    a text is shuffled once, with the row that stays."""
+    text, name = F.coalesce(F.col(text_col), F.lit("")), fresh(docs, "row")
+    others = [c for c in docs.columns if c != text_col]
+    held = F.struct(F.col(text_col).isNull().alias("f"), *[F.col(f"`{c}`").alias(f"f{i}") for i, c in enumerate(others)])
+    chosen = {"smallest": F.min_by, "largest": F.max_by}[keep]
+    # Rows without an id count only where no other has one.
+    row = F.coalesce(chosen(held, F.col(id_col)), F.first(held))
+    rows = docs.groupBy(F.unhex(F.md5(text)).alias(fresh(docs, "hash")), text.alias(fresh(docs, "whole_text"))).agg(row.alias(name))
+    places = {c: F.col(name)[f"f{i}"] for i, c in enumerate(others)}
+    places[text_col] = F.when(~F.col(name)["f"], F.col(fresh(docs, "whole_text")))
+    return rows.select(*[places[c].alias(c) for c in docs.columns])
 
 
 def _content_hash(text: str) -> Column:

@@ -23,6 +23,8 @@ from deskline.sources.shared import shared_folder
 
 # Tokens that a task counts, or scores, at a time.
 _TOKENS = 2_000_000
+# Text that a range stands for, at most.
+_RANGE_BYTES = 64 << 20
 START, END = (int(x) for x in seeded(2, 77))
 _STATS = np.dtype([("total", "<u8"), ("n1", "<u4"), ("n2", "<u4"), ("n3", "<u4"), ("before", "<u4")])
 
@@ -50,12 +52,14 @@ def train_bigram_model(texts: DataFrame, text_col: str = "text") -> BigramModel:
 
     Each task counts and sorts its own tokens before the shuffle, so a frequent word or
     bigram is one entry of each task. Ranges are of hashes, hence even; their number
-    follows ``spark.sql.shuffle.partitions``. The driver sees a few numbers a range.
+    follows the bytes of all texts, and is that of ``spark.sql.shuffle.partitions`` at
+    least. The driver sees a few numbers a range.
     """
     spark = texts.sparkSession
-    ranges = 1 << max(0, int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
     folder = shared_folder(spark, "bigram-model")
     lines = texts.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    size = lines.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    ranges = ranges_for(size, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     counted = lines.mapInArrow(lambda b: _word_blobs(b, ranges), "part int, data binary")
     words = saved(
@@ -122,6 +126,12 @@ def discounts(counts) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), i + 0.95) for i, d in enumerate(found))
 
 
+def ranges_for(size: int, partitions: int) -> int:
+    """How many ranges, a power of two: one for each partition and each
+    ``_RANGE_BYTES`` of text at least, so that a task can hold one whatever the settings."""
+    return 1 << max(0, max(partitions, -(-size // _RANGE_BYTES)) - 1).bit_length()
+
+
 # -- counting ------------------------------------------------------------------
 
 
@@ -198,6 +208,11 @@ def _word_blobs(batches: Iterator[pa.RecordBatch], ranges: int) -> Iterator[pa.R
         yield _blob_batch(filled.tolist(), blobs)
 
 
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in 32 bits, or in 64 where one does not fit."""
+    return counts.astype(np.uint32 if not len(counts) or counts.max() < 2**32 else np.uint64)
+
+
 def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     found = [_unpack(x.as_py()) for x in table.column("data")]
     return _summed(np.concatenate([k for k, _ in found]), np.concatenate([c for _, c in found]))
@@ -263,7 +278,7 @@ def _write_bigrams(table: pa.Table, folder: str, numbers: WordNumbers, ranges: i
     keys = mix(pairs)
     order = np.argsort(keys)
     write_array(folder, f"bigrams-{part}", keys[order])
-    write_array(folder, f"bigram-counts-{part}", counts[order].astype(np.uint32))
+    write_array(folder, f"bigram-counts-{part}", _narrow(counts[order]))
 
     before, after = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
     added = []
@@ -400,6 +415,6 @@ def _bigram_counts(u, w, real, model: BigramModel, numbers: WordNumbers) -> np.n
         except FileNotFoundError:  # no bigram in this range
             continue
         place = np.minimum(np.searchsorted(known, keys[own]), len(known) - 1)
-        found[own] = np.where(known[place] == keys[own], numbers.arrays[f"bigram-counts-{i}"][place], 0)
+        found[own] = np.where(known[place] == keys[own], numbers.arrays[f"bigram-counts-{i}"][place].astype(np.int64), 0)
     counts[at] = found[which]
     return counts

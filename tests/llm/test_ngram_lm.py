@@ -5,10 +5,11 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from deskline.llm.ngram_lm import discounts, score_texts, train_bigram_model
+from deskline.llm.ngram_lm import _narrow, discounts, ranges_for, score_texts, train_bigram_model
 from deskline.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -118,3 +119,12 @@ def test_nothing_to_learn_from(spark):
     assert [(r.n_known, r.score) for r in rows] == [(0, 0.0)] * 4
     assert score_texts(docs.where("false"), model, "key", "body").collect() == []
     assert train_bigram_model(docs.where(F.col("key") == 1), "body").train_tokens == 1
+
+
+def test_counts_and_ranges_of_huge_corpora():
+    assert _narrow(np.array([1, 2**32 - 1])).dtype == np.uint32
+    wide = _narrow(np.array([1, 2**32, 2**40]))
+    assert wide.tolist() == [1, 2**32, 2**40]
+    assert ranges_for(0, 1) == 1 and ranges_for(1000, 12) == 16
+    # A hundred terabytes in ranges of 64 megabytes, whatever the partitions.
+    assert ranges_for(10**14, 12) == 1 << 21

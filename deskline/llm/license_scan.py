@@ -42,7 +42,7 @@ NOTICES = {
     " provided that the following conditions are met",
 }
 
-# More licences, by wordings that hold none of the above: the oracle knows only those.
+# More licences, by wordings that hold none of the above.
 MORE_NOTICES = {
     "lgpl": "GNU Lesser General Public License",
     "agpl": "GNU Affero General Public License",

@@ -1,8 +1,8 @@
 """The queries that SQL can express, in DuckDB's SQL."""
 
-from deskline.llm.license_scan import NOTICES
+from deskline.llm.license_scan import MORE_NOTICES, NOTICES
 
-_TEMPLATES = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in NOTICES.items())
+_TEMPLATES = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in {**NOTICES, **MORE_NOTICES}.items())
 
 
 def _words(text: str) -> str:

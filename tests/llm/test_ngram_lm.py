@@ -37,13 +37,13 @@ class Plain:
         count_of = Counter(self.before.values())
         self.lower_d = discounts([count_of[i] for i in range(1, 5)])
         self.all = sum(self.words.values())
+        self.freed = sum(self.lower_d[min(c, 3) - 1] for c in self.before.values()) / max(len(self.pairs), 1)
 
     def lower(self, w):
         if not self.pairs:
             return 1 / (len(self.words) + 1)
-        freed = sum(self.lower_d[min(c, 3) - 1] for c in self.before.values()) / len(self.pairs)
         c = self.before[w]
-        return (max(c - self.lower_d[min(c, 3) - 1], 0) if c else 0) / len(self.pairs) + freed / (len(self.words) + 1)
+        return (max(c - self.lower_d[min(c, 3) - 1], 0) if c else 0) / len(self.pairs) + self.freed / (len(self.words) + 1)
 
     def chance(self, u, w):
         if not self.total[u]:

@@ -26,9 +26,6 @@ from deskline.llm.common import fresh, saved
 from deskline.llm.hashing import WordHasher
 from deskline.llm.ngram_lm import discounts
 
-# Tokens of the passage that tells most.
-_PEAK = 3
-
 
 @dataclass(frozen=True)
 class ToxicityModel:
@@ -38,6 +35,7 @@ class ToxicityModel:
     difference: np.ndarray  # log probability in toxic texts less that in ordinary ones
     unknown: float  # the same for words that the sample does not have
     weights: np.ndarray  # of the logistic curve: whole text, peak, constant
+    peak: int  # tokens of a text whose differences make the peak
 
 
 def train_toxicity(
@@ -49,13 +47,15 @@ def train_toxicity(
     text_col: str = "text",
     label_col: str = "toxic",
     max_rows: int = 8000,
+    peak: int = 2,
 ) -> ToxicityModel:
     """Fit the models on labelled rows and the curve on others.
 
     ``learn_from`` and ``tune_on`` are conditions on the id column, by default one half
     of the ids each. ``max_rows`` bounds the labelled rows of each class: of more, those
     whose hashed id is below the bound's share are taken, about ``max_rows`` rows. Their
-    ids are few enough to be broadcast, so no text is shuffled to find them.
+    ids are few enough to be broadcast, so no text is shuffled to find them. The ``peak``
+    tokens with the largest differences are a feature of their own.
 
     The driver holds an entry for each word of the sample, some tens of megabytes.
 
@@ -89,7 +89,7 @@ def train_toxicity(
         .groupBy("toxic", "w")
         .agg(F.sum("n").alias("n"))
     )
-    model = _compared(counts)
+    model = replace(_compared(counts), peak=peak)
     features = sample.where("role = 1").mapInArrow(lambda b: _features_of(b, model, ["toxic"]), "toxic int, mean double, peak double")
     rows = features.toPandas()
     # Rows stand for all rows of their class.
@@ -169,7 +169,7 @@ def _compared(counts: DataFrame) -> ToxicityModel:
         own_share, own_freed = _with_discount(own)
         logs.append(np.log(own_share + own_freed * (share + rest)))
         unknown.append(np.log(own_freed * rest))
-    return ToxicityModel(hashes[order], logs[1] - logs[0], float(unknown[1] - unknown[0]), np.zeros(3))
+    return ToxicityModel(hashes[order], logs[1] - logs[0], float(unknown[1] - unknown[0]), np.zeros(3), 1)
 
 
 def _with_discount(counts: np.ndarray) -> tuple[np.ndarray, float]:
@@ -195,8 +195,8 @@ def _features(column: pa.Array, model: ToxicityModel) -> np.ndarray:
             differ = np.where(model.words[place] == hashes, model.difference[place], model.unknown)
         for start, end in zip(first[:-1], first[1:]):
             own = differ[start:end]
-            largest = np.partition(own, len(own) - _PEAK)[-_PEAK:] if len(own) > _PEAK else own
-            found.append((own.mean(), largest.sum() / _PEAK) if len(own) else (0.0, 0.0))
+            largest = np.partition(own, len(own) - model.peak)[-model.peak :] if len(own) > model.peak else own
+            found.append((own.mean(), largest.sum() / model.peak) if len(own) else (0.0, 0.0))
     return np.array(found).reshape(-1, 2)
 
 

@@ -1,16 +1,19 @@
 """Toxicity, URL filter, licence and secret scans: held-out accuracy, rules against plain
 Python, and rows that are out of the ordinary."""
 
+import math
 import re
 import time
 import zlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 import deskline.llm.license_scan as license_scan_module
+from deskline.llm.common import fold
 from deskline.llm.license_scan import NOTICES, license_scan, notice_templates
-from deskline.llm.queries import QUERIES, URL_RULES
+from deskline.llm.queries import QUERIES, URL_RULES, toxicity_model
 from deskline.llm.secret_scan import secret_candidates, secret_scan, seed_findings, train_secret_forest
 from deskline.llm.toxicity import drop_toxic, toxicity, train_toxicity
 from deskline.llm.url_filter import filter_urls, seed_urls, train_url_filter
@@ -69,6 +72,71 @@ def test_toxicity_of_odd_rows(spark, rude):
     assert toxicity(docs.where("false"), model, id_col="key", text_col="body").collect() == []
 
 
+def plain_discounted(counts):
+    """Discounted shares of counts by word, and the freed mass."""
+    n = [sum(c == k for c in counts.values()) for k in range(5)]
+    by = [0.5, 1.0, 1.5]
+    if n[1] and n[2]:
+        y = n[1] / (n[1] + 2 * n[2])
+        by = [1 - 2 * y * n[2] / n[1], 2 - 3 * y * n[3] / n[2], 3 - 4 * y * n[4] / n[3] if n[3] else 1.5]
+        by = [min(max(d, 0.05), i + 0.95) for i, d in enumerate(by)]
+    total = sum(counts.values())
+    shares = {w: max(c - by[min(c, 3) - 1], 0) / total for w, c in counts.items()}
+    return shares, 1 - sum(shares.values())
+
+
+def plain_words(text):
+    return [re.sub("[A-Z]+", lambda m: m[0].lower(), w) for w in re.findall("[A-Za-z0-9\x80-\U0010ffff]+", text)]
+
+
+def test_toxicity_equals_a_plain_model(spark):
+    """Features of every document by dictionaries of words; the curve is where the
+    penalised likelihood is steepest no more."""
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if r.toxic is not None}
+    by_fold = {i: zlib.crc32(str(i).encode()) % 4 for i in texts}
+    counts = [Counter(), Counter()]
+    for i, label in labels.items():
+        if by_fold[i] in (0, 1):
+            counts[label].update(set(plain_words(texts[i])))
+    words = set(counts[0]) | set(counts[1])
+    histories, freed = plain_discounted({w: sum(w in c for c in counts) for w in words})
+    rest = freed / (len(words) + 1)
+    classes = [plain_discounted(c) for c in counts]
+
+    def difference(word):
+        ordinary, toxic = (math.log(own.get(word, 0) + left * (histories.get(word, 0) + rest)) for own, left in classes)
+        return toxic - ordinary
+
+    known = {w: difference(w) for w in words}
+    unknown = difference("")
+    rows = {r.doc_id: r for r in QUERIES["op3_toxicity"](spark, SF).collect()}
+    assert rows.keys() == texts.keys()
+    features = {}
+    for i, text in texts.items():
+        own = [known.get(w, unknown) for w in plain_words(text)]
+        features[i] = (sum(own) / len(own), sum(sorted(own)[-2:]) / 2) if own else (0.0, 0.0)
+        assert (rows[i].mean, rows[i].peak) == pytest.approx(features[i], abs=1e-9)
+
+    model = toxicity_model(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
+    slope = [0.0, 0.0, 0.0]
+    for i, label in labels.items():
+        x = (*features[i], 1.0)
+        chance = 1 / (1 + math.exp(-sum(w * v for w, v in zip(model.weights, x))))
+        if by_fold[i] == 3:
+            slope = [s + (label - chance) * v for s, v in zip(slope, x)]
+    assert slope == pytest.approx([0.1 * model.weights[0], 0.1 * model.weights[1], 1e-6 * model.weights[2]], abs=1e-3)
+    for i, x in features.items():
+        assert rows[i].score == pytest.approx(1 / (1 + math.exp(-sum(w * v for w, v in zip(model.weights, (*x, 1.0))))), abs=1e-9)
+
+
+def test_toxicity_learns_nothing_from_the_held_out_fold(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    turned = labels.withColumn("toxic", F.when(fold("doc_id", 4) == 2, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    one, other = toxicity_model(docs, labels), toxicity_model(docs, turned)
+    assert (one.words == other.words).all() and (one.difference == other.difference).all() and (one.weights == other.weights).all()
+
+
 def test_toxicity_without_both_classes(spark, rude):
     docs, labels = rude
     for some in (labels.where("false"), labels.where("toxic = 0")):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,21 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def set_aside(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``df`` without columns of these names: one that has such a name keeps its values
+    under a fresh one (the name with ``_`` behind it), in the same place."""
+    wanted = {n.lower() for n in names}
+    taken = wanted | {c.lower() for c in df.columns}
+    renamed = []
+    for c in df.columns:
+        name = c
+        while name.lower() in wanted or (name != c and name.lower() in taken):
+            name += "_"
+        taken.add(name.lower())
+        renamed.append(name)
+    return df.toDF(*renamed)
+
+
 def fold(doc_id: str | Column, folds: int) -> Column:
     """The fold of a document: crc32 of its id as text, modulo ``folds``."""
     return F.crc32(F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit("")).cast("string")) % folds

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from deskline.llm.common import fresh, table_of
+from deskline.llm.common import fresh, set_aside, table_of
 
 # Distinct words whose ids a worker remembers: those that it meets first.
 _KNOWN_WORDS = 500_000
@@ -148,13 +148,11 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     of at most ``capacity`` tokens, gapless from 0.
 
     ``pieces`` has ``id``, ``piece`` and ``length`` (1 to ``capacity``; anything else
-    fails); other columns are kept. Pieces equal in id and number (rows that were there
+    fails); other columns are kept, one that is named ``sequence_id`` or ``offset`` under
+    that name with ``_`` behind it. Pieces equal in id and number (rows that were there
     twice) are each placed. An empty table gives no rows.
     """
-    clash = {"sequence_id", "offset"} & {c.lower() for c in pieces.columns}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} are already there")
-    pieces = table_of(pieces, "pieces")
+    pieces = table_of(set_aside(pieces, ("sequence_id", "offset")), "pieces")
     slices = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     part, rank, before = (fresh(pieces, c) for c in ("part", "rank", "before"))
 

@@ -61,8 +61,9 @@ def apply_edits(trees: DataFrame, ranks_path: str, pattern: str, edits_col: str
 
     ``edits_col`` is an array of ``(start, stop, insert)``: characters ``start`` up to
     ``stop`` of the old text, counted from 0, give way to ``insert`` (null: nothing).
-    Edits may come in any order but must not overlap; places beyond the end mean the
-    end, and of edits at one place the first one's text comes first. Null or no edits
+    Edits may come in any order. Places beyond the end mean the end, and of edits at one
+    place the first one's text comes first. An edit that begins inside what an earlier
+    one replaces begins where that one stops, so no character is replaced twice. Null or no edits
     leave a document as it is. The edits of a document fit into its row, see
     :func:`gather_edits`.
     """
@@ -191,9 +192,7 @@ class TokenTree:
         done, old = [], 0  # what is before the next edit, and how much of the old text it replaces
         length = 0
         for start, stop, insert in sorted(edits, key=lambda e: e[:2]):
-            start, stop = (min(max(x, 0), len(text)) for x in (start, max(start, stop)))
-            if start < old:
-                raise ValueError("edits overlap")
+            start, stop = (min(max(x, old), len(text)) for x in (start, max(start, stop)))
             place = length + start - old
             done += [text[old:start], insert]
             length, old = place + len(insert), stop

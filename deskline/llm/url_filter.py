@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskline.functions.text import let
-from deskline.llm.common import fresh
+from deskline.llm.common import fresh, set_aside
 
 
 class UrlRule(NamedTuple):
@@ -102,12 +102,12 @@ def filter_urls(
     rule's, else block from ``threshold`` on).
 
     Only the URL is read for it, no row is moved. A null URL has an empty host and path,
-    which the classifier judges. ``pages`` must not have columns of these names.
+    which the classifier judges. Columns of ``pages`` that have one of these names are
+    kept under another: ``host`` as ``host_``.
     """
-    names = ("host", "path", "rule", "block_score", "verdict")
-    clash = set(names) & {c.lower() for c in pages.columns}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} are already there")
+    own = pages.columns
+    pages = set_aside(pages, ("host", "path", "rule", "block_score", "verdict"))
+    url_col = dict(zip((c.lower() for c in own), pages.columns)).get(url_col.lower(), url_col)
     grams, features, raw, judged, scored = (fresh(pages, n) for n in ("grams", "features", "raw", "judged", "scored"))
     url = F.col(url_col)
     rows = pages.withColumns({"host": url_host(url), "path": url_path(url)})

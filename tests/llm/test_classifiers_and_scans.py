@@ -193,8 +193,12 @@ def test_odd_urls(spark):
         assert (r.host, r.path) == plain_parts(r.link)
         rule = plain_rule(r.host, r.path)
         assert r.rule == (rule and rule.host + rule.path) and r.verdict in ("allow", "block")
-    with pytest.raises(ValueError):
-        filter_urls(pages.withColumn("host", F.lit("")), train_url_filter(seed_urls(spark)), URL_RULES, "link")
+    named = pages.withColumnRenamed("link", "host").withColumn("Verdict", F.lit("mine"))
+    again = filter_urls(named, train_url_filter(seed_urls(spark)), URL_RULES, "host")
+    assert again.columns == ["page_id", "host_", "features", "Verdict_", "host", "path", "rule", "block_score", "verdict"]
+    assert Counter((r.host_, r.Verdict_, r.host, r.verdict) for r in again.collect()) == Counter(
+        (r.link, "mine", r.host, r.verdict) for r in rows
+    )
     assert filter_urls(pages.where("false"), train_url_filter(seed_urls(spark)), (), "link").collect() == []
 
 

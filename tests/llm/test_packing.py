@@ -123,8 +123,10 @@ def test_hard_rows(spark, encode):
         whole = [i for ids in found for i in ids]
         assert whole == encode(text) * (2 if key == 4 else 1)
     assert pack(tokenized_pieces(docs.where("false"), PATH, 64, 0, "key", "body"), 64).collect() == []
-    with pytest.raises(ValueError):
-        pack(pieces.withColumn("offset", F.lit(1)), 64)
+    again = pack(pieces.withColumns({"Offset": F.lit(7), "offset_": F.lit(8)}), 64)
+    assert again.columns == [*pieces.columns, "Offset__", "offset_", "sequence_id", "offset"]
+    assert {(r["Offset__"], r["offset_"]) for r in again.collect()} == {(7, 8)}
+    assert sorted((r.offset, r.length) for r in again.collect()) == sorted((r.offset, r.length) for r in rows)
 
 
 def test_sequences_hold_their_ids(spark):

@@ -104,5 +104,9 @@ def test_hard_rows(spark, count):
     assert "wobrd" in by_id[4] and " cut " in by_id[4]
     assert build_token_trees(docs.where("false"), BYTE_RANKS, PATTERN, "key", "body").collect() == []
     overlap = edits.where("false").union(spark.createDataFrame([(4, 1, 9, "a"), (4, 5, 6, "b")], edits.schema))
-    with pytest.raises(Exception, match="overlap"):
-        apply_edits(trees.join(gather_edits(overlap), "id"), BYTE_RANKS, PATTERN).collect()
+    old = {r.id: r.text for r in trees.select("id", "text").collect()}[4]
+    [row] = apply_edits(trees.join(gather_edits(overlap), "id"), BYTE_RANKS, PATTERN).collect()
+    assert row.text == old[:1] + "ab" + old[9:] and row.tokens_after == count(row.text)
+    longer = edits.where("false").union(spark.createDataFrame([(4, 5, 12, "b"), (4, 1, 9, "a"), (4, 20, 21, "")], edits.schema))
+    [row] = apply_edits(trees.join(gather_edits(longer), "id"), BYTE_RANKS, PATTERN).collect()
+    assert row.text == old[:1] + "ab" + old[12:20] + old[21:] and row.tokens_after == count(row.text)

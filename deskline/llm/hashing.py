@@ -29,6 +29,17 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def unmix(h: np.ndarray) -> np.ndarray:
+    """What :func:`mix` made ``h`` of."""
+    h = np.array(h, dtype=np.uint64)
+    h ^= (h >> np.uint64(31)) ^ (h >> np.uint64(62))
+    h *= np.uint64(pow(0x94D049BB133111EB, -1, 2**64))
+    h ^= (h >> np.uint64(27)) ^ (h >> np.uint64(54))
+    h *= np.uint64(pow(0xBF58476D1CE4E5B9, -1, 2**64))
+    h ^= (h >> np.uint64(30)) ^ (h >> np.uint64(60))
+    return h
+
+
 def seeded(count: int, seed: int) -> np.ndarray:
     """``count`` fixed pseudo-random words of 64 bits."""
     start = (seed * 0x9E3779B97F4A7C15 + 1) % 2**64

@@ -13,7 +13,7 @@ from deskline.llm.exact_dedup import exact_dedup
 from deskline.llm.fill_in_middle import fill_in_middle, restored_text
 from deskline.llm.license_scan import license_scan, notice_templates
 from deskline.llm.ngram_jaccard import ngram_jaccard_join
-from deskline.llm.ngram_lm import score_texts, train_bigram_model
+from deskline.llm.ngram_lm import score_texts, train_ngram_model
 from deskline.llm.packing import pack, tokenized_pieces
 from deskline.llm.personal_data import KINDS, find_personal_data
 from deskline.llm.secret_scan import secret_scan, seed_findings, train_secret_forest
@@ -112,7 +112,7 @@ def op5_token_counts(spark, d):
 @query
 def op6_lm_scoring(spark, d):
     documents = table(spark, d, "documents").select("doc_id", "text")
-    model = train_bigram_model(documents.where(fold("doc_id", 10) != 0))
+    model = train_ngram_model(documents.where(fold("doc_id", 10) != 0), order=3)
     return score_texts(documents, model).select(
         F.col("id").alias("doc_id"),
         (fold("id", 10) == 0).alias("held_out"),

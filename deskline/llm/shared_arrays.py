@@ -30,7 +30,8 @@ def write_array(folder: str, name: str, values: np.ndarray) -> None:
 
 class SharedArrays:
     """Arrays of one folder, mapped into memory when first used. From a store that is
-    not a file system, each worker fetches those it uses to its own temporary folder."""
+    not a file system, each worker fetches those it uses; a file that is fetched has no
+    name any more once it is mapped, so it goes with the worker."""
 
     def __init__(self, folder: str):
         self.folder = folder
@@ -41,10 +42,12 @@ class SharedArrays:
             system, path = _place(self.folder)
             file = f"{path}/{name}.npy"
             if not isinstance(system, fs.LocalFileSystem):
-                copy = os.path.join(tempfile.mkdtemp(), f"{name}.npy")
-                fs.copy_files(file, copy, source_filesystem=system, destination_filesystem=fs.LocalFileSystem())
-                file = copy
-            self.open[name] = np.load(file, mmap_mode="r")
+                with tempfile.TemporaryDirectory() as fetched:
+                    copy = os.path.join(fetched, f"{name}.npy")
+                    fs.copy_files(file, copy, source_filesystem=system, destination_filesystem=fs.LocalFileSystem())
+                    self.open[name] = np.load(copy, mmap_mode="r")
+            else:
+                self.open[name] = np.load(file, mmap_mode="r")
         return self.open[name]
 
     def __getstate__(self):

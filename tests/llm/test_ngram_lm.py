@@ -1,4 +1,4 @@
-"""The bigram model against a plain one, and against itself: probabilities add up to one."""
+"""The models of order 2 and 3 against plain ones, and against themselves: probabilities add up to one."""
 
 import math
 import re
@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from deskline.llm.ngram_lm import _narrow, discounts, ranges_for, score_texts, train_bigram_model
+from deskline.llm.hashing import mix, seeded, unmix
+from deskline.llm.ngram_lm import _narrow, discounts, ranges_for, score_texts, train_ngram_model
 from deskline.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -21,12 +22,23 @@ def tokens(text):
 
 
 class Plain:
-    def __init__(self, texts):
-        self.words, self.pairs = Counter(), Counter()
+    def __init__(self, texts, order=2):
+        self.words, self.pairs, self.triples = Counter(), Counter(), Counter()
         for t in texts:
             line = tokens(t)
             self.words.update(line)
             self.pairs.update(zip(["<s>", *line], line))
+            if order == 3:
+                self.triples.update(zip(["<s>", *line], line, line[1:]))
+        if order == 3:
+            wider = Counter((v, w) for _, v, w in self.triples)
+            self.pairs = Counter({p: c if p[0] == "<s>" else wider[p] for p, c in self.pairs.items()})
+        self.after3, self.total3 = defaultdict(Counter), Counter()
+        for (u, v, _), c in self.triples.items():
+            self.after3[u, v][min(c, 3)] += 1
+            self.total3[u, v] += c
+        count_of = Counter(self.triples.values())
+        self.d3 = discounts([count_of[i] for i in range(1, 5)])
         self.after, self.before, self.total = defaultdict(Counter), Counter(), Counter()
         for (u, w), c in self.pairs.items():
             self.after[u][min(c, 3)] += 1
@@ -52,11 +64,18 @@ class Plain:
         freed = sum(self.d[i - 1] * n for i, n in self.after[u].items()) / self.total[u]
         return (max(c - self.d[min(c, 3) - 1], 0) if c else 0) / self.total[u] + freed * self.lower(w)
 
+    def chance3(self, t, u, w):
+        if not self.total3[t, u]:
+            return self.chance(u, w)
+        c = self.triples[t, u, w]
+        freed = sum(self.d3[i - 1] * n for i, n in self.after3[t, u].items())
+        return ((max(c - self.d3[min(c, 3) - 1], 0) if c else 0) + freed * self.chance(u, w)) / self.total3[t, u]
+
     def score(self, text):
         line = tokens(text)
         base = sum(math.log10((self.words[w] + 0.1) / (self.all + 0.1 * (len(self.words) + 1))) for w in line)
         return len(line), sum(self.words[w] > 0 for w in line), base, sum(
-            math.log10(self.chance(u, w)) for u, w in zip(["<s>", *line], line)
+            math.log10(self.chance3(t, u, w)) for t, u, w in zip(["", "<s>", *line], ["<s>", *line], line)
         )
 
 
@@ -75,7 +94,7 @@ def test_query_equals_plain_model(spark):
     texts = {r.doc_id: r.text for r in documents.collect()}
     held_out = {i for i in texts if zlib.crc32(str(i).encode()) % 10 == 0}
     assert {r.doc_id for r in rows if r.held_out} == held_out
-    plain = Plain(t for i, t in texts.items() if i not in held_out)
+    plain = Plain((t for i, t in texts.items() if i not in held_out), 3)
     assert {r.train_tokens for r in rows} == {plain.all}
     check([r.asDict() for r in rows], plain)
     # Better than the counts alone on texts it has not seen.
@@ -83,7 +102,30 @@ def test_query_equals_plain_model(spark):
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_documents_equal_plain_model(spark, order):
+    """Learnt in ranges and scored in many tasks, of either order."""
+    documents = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").repartition(5)
+    model = train_ngram_model(documents.where(F.col("doc_id") % 3 != 0), order=order)
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    plain = Plain((t for i, t in texts.items() if i % 3), order)
+    rows = score_texts(documents, model).collect()
+    assert len(rows) == len(texts)
+    check([{**r.asDict(), "text": texts[r.id]} for r in rows], plain)
+
+
+def test_orders(spark):
+    with pytest.raises(ValueError):
+        train_ngram_model(spark.createDataFrame([("a",)], "text string"), order=4)
+    values = seeded(1000, 5)
+    assert (unmix(mix(values)) == values).all() and (mix(unmix(values)) == values).all()
+
+
 def test_probabilities_add_up():
+    plain = Plain(["a b a c", "b a b", "a b c d e a b", "c d"], 3)
+    for t, u in [("<s>", "a"), ("a", "b"), ("c", "d"), ("b", "zzz"), ("zzz", "a")]:
+        total = sum(plain.chance3(t, u, w) for w in plain.words) + plain.chance3(t, u, "not a word")
+        assert total == pytest.approx(1)
     plain = Plain(["a b a c", "b a b", "a b c d e a b", "c d"])
     for u in ["<s>", "a", "d", "zzz"]:
         total = sum(plain.chance(u, w) for w in plain.words) + plain.chance(u, "not a word")
@@ -101,10 +143,11 @@ HARD = [
 ]
 
 
-def test_hard_rows(spark):
+@pytest.mark.parametrize("order", [2, 3])
+def test_hard_rows(spark, order):
     docs = spark.createDataFrame(HARD, "key long, body string, score string")
-    model = train_bigram_model(docs, "body")
-    plain = Plain(t for _, t, _ in HARD)
+    model = train_ngram_model(docs, "body", order)
+    plain = Plain((t for _, t, _ in HARD), order)
     assert (model.train_tokens, model.vocabulary) == (plain.all, len(plain.words))
     rows = score_texts(docs, model, "key", "body").collect()
     assert len(rows) == len(HARD)
@@ -112,13 +155,17 @@ def test_hard_rows(spark):
     check([{**r.asDict(), "text": by_id[r.id]} for r in rows], plain)
 
 
-def test_nothing_to_learn_from(spark):
+@pytest.mark.parametrize("order", [2, 3])
+def test_nothing_to_learn_from(spark, order):
     docs = spark.createDataFrame(HARD[:4], "key long, body string, score string")
-    model = train_bigram_model(docs.where("false"), "body")
+    model = train_ngram_model(docs.where("false"), "body", order)
     rows = score_texts(docs, model, "key", "body").collect()
     assert [(r.n_known, r.score) for r in rows] == [(0, 0.0)] * 4
     assert score_texts(docs.where("false"), model, "key", "body").collect() == []
-    assert train_bigram_model(docs.where(F.col("key") == 1), "body").train_tokens == 1
+    assert train_ngram_model(docs.where(F.col("key") == 1), "body", order).train_tokens == 1
+    empty = train_ngram_model(docs.where(F.col("key") < 4), "body", order)
+    plain = Plain((t for _, t, _ in HARD[:3]), order)
+    check([{**r.asDict(), "text": dict((k, t) for k, t, _ in HARD)[r.id]} for r in score_texts(docs, empty, "key", "body").collect()], plain)
 
 
 def test_counts_and_ranges_of_huge_corpora():

@@ -112,7 +112,7 @@ def op5_token_counts(spark, d):
 @query
 def op6_lm_scoring(spark, d):
     documents = table(spark, d, "documents").select("doc_id", "text")
-    model = train_ngram_model(documents.where(fold("doc_id", 10) != 0), order=3)
+    model = train_ngram_model(documents.where(fold("doc_id", 10) != 0), order=2)
     return score_texts(documents, model).select(
         F.col("id").alias("doc_id"),
         (fold("id", 10) == 0).alias("held_out"),

@@ -34,6 +34,14 @@ def _usable(training: DataFrame) -> DataFrame:
     return training.filter(F.col("text").isNotNull() & F.col("intent").isNotNull() & F.col("text").rlike(p.HAS_TEXT))
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: computed once, however often
+    it is read."""
+    folder = shared_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 # -- naive Bayes -----------------------------------------------------------------
 
 # Words, the most frequent ones, that every task holds; up to this many bytes each.
@@ -65,25 +73,23 @@ def train_naive_bayes(
     """Count ``text, intent``: rows and words of each intent, and each word in it. Rows of
     intents that are not in the taxonomy, or without text, teach nothing.
 
-    Counts are added up in each task before the shuffle, so it carries a row for each
-    word a task has met, however often. They are written once to the shared folder; at
-    most ``common_words`` of them, of bounded length, are gathered.
+    ``training`` is computed once: its usable rows are written to the shared folder, and
+    their texts are cut into words once. Counts are added up in each task before the
+    shuffle, so it carries a row for each word a task has met, however often. They are
+    written once too; at most ``common_words`` of them, of bounded length, are gathered.
     """
-    rows = _usable(training).filter(F.col("intent").isin(list(intents))).select("intent", _words(F.col("text")).alias("words"))
-    found = rows.groupBy("intent").agg(F.count("*").alias("rows"), F.sum(F.size("words")).alias("words")).collect()
-    sizes = tuple(sorted((r.intent, r.rows, r.words) for r in found))
-    each = [F.count_if(F.col("intent") == intent) for intent, _, _ in sizes]
-    counted = rows.select("intent", F.explode("words").alias("word")).groupBy("word")
-    counted = counted.agg((F.array(*each) if each else F.array().cast("array<bigint>")).alias("n"))
-    spark = training.sparkSession
-    folder = shared_folder(spark, "word-counts")
-    counted.write.parquet(folder)
-    counts = spark.read.parquet(folder)
+    rows = _written(_usable(training).filter(F.col("intent").isin(list(intents))).select("intent", "text"), "training-rows")
+    found = sorted((r.intent, r["count"]) for r in rows.groupBy("intent").count().collect())
+    each = [F.count_if(F.col("intent") == intent) for intent, _ in found]
+    counted = rows.select("intent", F.explode(_words(F.col("text"))).alias("word")).groupBy("word")
+    counts = _written(counted.agg((F.array(*each) if each else F.array().cast("array<bigint>")).alias("n")), "word-counts")
+    sums = [F.coalesce(F.sum(F.col("n")[i]), F.lit(0)) for i in range(len(found))]
+    vocabulary, *words = counts.agg(F.count("*"), *sums).first()
+    sizes = tuple((intent, n, of_intent) for (intent, n), of_intent in zip(found, words))
     total = F.aggregate("n", F.lit(0).cast("long"), lambda a, b: a + b)
     short = F.octet_length("word") <= _LONGEST_COMMON
     top = counts.filter(short).select("word", "n", total.alias("total")).orderBy(F.desc("total"), "word").limit(common_words).collect()
     common = sorted((r.word, list(r.n)) for r in top)
-    vocabulary = counts.count()
     rare = None
     if len(top) < vocabulary:
         beyond = ~short if top else F.lit(True)
@@ -185,20 +191,13 @@ def _with_rare(judged: DataFrame, model: NaiveBayes, found: str) -> DataFrame:
     most frequent of them are broadcast, so no word that most texts hold is shuffled by
     text; for the others, texts are joined by word.
     """
-    spark = judged.sparkSession
     row, extra = unused("row", judged), unused("more", judged)
-
-    def written(df: DataFrame, name: str) -> DataFrame:
-        folder = shared_folder(spark, name)
-        df.write.parquet(folder)
-        return spark.read.parquet(folder)
-
-    judged = written(judged.withColumn(row, F.monotonically_increasing_id()), "judged")
+    judged = _written(judged.withColumn(row, F.monotonically_increasing_id()), "judged")
     pairs = judged.select(row, F.explode(F.col(found)["others"]).alias("word"))
-    met = written(pairs.groupBy("word").agg(F.count("*").alias("times")).join(model.rare, "word"), "rare-words")
+    met = _written(pairs.groupBy("word").agg(F.count("*").alias("times")).join(model.rare, "word"), "rare-words")
     short = F.octet_length("word") <= _LONGEST_COMMON
     often = met.filter(short).orderBy(F.desc("times"), "word").limit(COMMON_WORDS)
-    often = written(often, "often-met")
+    often = _written(often, "often-met")
     seldom = met.join(F.broadcast(often.select("word")), "word", "left_anti")
     # Sums, of the number of words first.
     logs = F.concat(F.array(F.lit(1.0)), F.transform("n", lambda n: F.log1p(n.cast("double"))))
@@ -226,18 +225,20 @@ def train_intent_baseline(
 ) -> PipelineModel:
     """Fit a bag-of-words logistic regression on ``text, intent``, for the intents of a
     taxonomy: rows of other intents, and without text or intent, teach nothing. Only sums
-    over the rows travel to the driver, of a size set by ``features`` and ``intents``."""
+    over the rows travel to the driver, of a size set by ``features`` and ``intents``.
+
+    The fit reads its rows several times. ``training`` is computed once: what is written
+    to the shared folder and read again is a label and the hashed counts for each row."""
     rows = _usable(training).filter(F.col("intent").isin(list(intents))).select("text", "intent")
     labels = StringIndexerModel.from_labels(list(intents), inputCol="intent", outputCol="label")
-    stages = [
-        labels,
-        RegexTokenizer(inputCol="text", outputCol="words", pattern=_NOT_WORD),
-        HashingTF(inputCol="words", outputCol="counts", numFeatures=features),
-        IDF(inputCol="counts", outputCol="features"),
-        LogisticRegression(maxIter=iterations, regParam=0.01),
-        IndexToString(inputCol="prediction", outputCol="predicted_intent", labels=list(intents)),
-    ]
-    return Pipeline(stages=stages).fit(rows)
+    tokens = RegexTokenizer(inputCol="text", outputCol="words", pattern=_NOT_WORD)
+    hashing = HashingTF(inputCol="words", outputCol="counts", numFeatures=features)
+    counted = hashing.transform(tokens.transform(labels.transform(rows))).select("label", "counts")
+    weights = IDF(inputCol="counts", outputCol="features")
+    regression = LogisticRegression(maxIter=iterations, regParam=0.01)
+    fitted = Pipeline(stages=[weights, regression]).fit(_written(counted, "hashed-counts"))
+    named = IndexToString(inputCol="prediction", outputCol="predicted_intent", labels=list(intents))
+    return PipelineModel([labels, tokens, hashing, *fitted.stages, named])
 
 
 def predict_intents(model: PipelineModel, df: DataFrame, text_col: str = "text") -> DataFrame:

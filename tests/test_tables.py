@@ -408,6 +408,25 @@ def test_json_records(spark):
 # -- intents ----------------------------------------------------------------
 
 
+@pytest.mark.parametrize("train", [intent_baseline.train_naive_bayes, intent_baseline.train_intent_baseline])
+def test_classifiers_compute_the_training_table_once(spark, train):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = [(f"late car {i % 7}", "get_eta") for i in range(20)] + [("broken load", "report_damage")] * 10
+    model = train(spark.createDataFrame(rows, "text string, intent string").mapInArrow(counted, "text string, intent string"))
+    assert read.value == len(rows)
+    if train is intent_baseline.train_naive_bayes:
+        assert model.intents == (("get_eta", 20, 60), ("report_damage", 10, 20)) and model.vocabulary == 11
+    else:
+        # Intents without rows are classes too.
+        assert model.stages[4].numClasses == len(labels.INTENTS)
+
+
 def test_classifiers_bear_missing_texts(spark):
     training_rows = spark.createDataFrame(
         [("late car", "get_eta"), ("late again", "get_eta"), ("broken load", "report_damage"), (None, "get_eta"), ("x", None), ("y", "unheard of")],

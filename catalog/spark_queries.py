@@ -47,7 +47,12 @@ def raw_transcripts(spark, d):
 
 
 def raw_emails(spark, d):
-    orders = table(spark, d, "orders")
+    # An order is some bytes in its file and a long chain of steps as an email: files are
+    # cut by bytes into far too few tasks, so the narrow rows are spread first.
+    columns = ("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    context, conf = spark.sparkContext, spark.conf
+    tasks = max(int(conf.get("spark.sql.shuffle.partitions")), 4 * context.defaultParallelism)
+    orders = table(spark, d, "orders").select(*columns).repartition(tasks)
     return orders.select(F.col("o_orderkey").alias("msg_id"), F.expr(inputs.EMAIL).alias("raw_email"))
 
 

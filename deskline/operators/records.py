@@ -17,12 +17,14 @@ def found_entities(text: Column) -> Column:
     """What each pattern finds in a text, as a struct of lists. The patterns are
     independent: a seven-digit number is listed as a phone number and as a waybill."""
 
+    none = F.array().cast("array<string>")
+
     def find(t: Column) -> Column:
         def all_of(pattern: str, group: int = 0) -> Column:
             return F.regexp_extract_all(t, F.lit(pattern), F.lit(group))
 
         return F.struct(
-            all_of(p.EMAIL_ADDRESS, 2).alias("emails"),
+            F.when(F.contains(t, F.lit("@")), all_of(p.EMAIL_ADDRESS, 2)).otherwise(none).alias("emails"),
             all_of(p.PHONE).alias("phones"),
             all_of(p.WAYBILL).alias("waybills"),
             all_of(p.EQUIPMENT_ID).alias("equipment_ids"),

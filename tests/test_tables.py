@@ -1,5 +1,6 @@
 """Table operators on small fixtures."""
 
+import datetime
 import json
 import math
 import random
@@ -9,6 +10,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import spark_queries
 from deskline.operators import labels, profile, records, rows
 from deskline.plans import intent_baseline, interactions, synthetic, training
 from deskline.sources.shared import shared_folder
@@ -427,6 +429,17 @@ def test_classifiers_compute_the_training_table_once(spark, train):
         assert model.stages[4].numClasses == len(labels.INTENTS)
 
 
+def test_emails_are_built_in_many_tasks(spark, tmp_path):
+    rows = [(k, 7, datetime.date(2024, 1, 2), "1-URGENT") for k in (1, 2, 2, None)]
+    orders = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderdate date, o_orderpriority string")
+    orders.coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    emails = spark_queries.raw_emails(spark, str(tmp_path))
+    assert emails.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    found = emails.collect()
+    assert Counter(r.msg_id for r in found) == Counter([1, 2, 2, None])
+    assert all(f"Subject: Order {r.msg_id}\n" in r.raw_email for r in found if r.msg_id)
+
+
 def test_classifiers_bear_missing_texts(spark):
     training_rows = spark.createDataFrame(
         [("late car", "get_eta"), ("late again", "get_eta"), ("broken load", "report_damage"), (None, "get_eta"), ("x", None), ("y", "unheard of")],

@@ -1,12 +1,18 @@
-"""Similarity join of documents on the Jaccard similarity of their word n-grams, by
-parity sketches.
-
-Each document's set of n-grams is dealt over parts by hash, and every n-gram flips one
-of the 64 bits of its part. An n-gram in one set only flips one bit, so the Hamming
-distance of two sketches is at most the symmetric difference of their sets. Two sets of
-at most u n-grams with a similarity of t or more differ by no more than
-D = 2u(1-t)/(1+t); of D + 1 parts, at least one is then equal in both (pigeonhole).
-Parts are made for each band of sizes, whose upper end gives u.
+"""Similarity join of documents on the Jaccard similarity of their word n-grams, by the
+rarest n-grams of each document and parity sketches.
+
+Two sets with a similarity of t or more have at least t * size n-grams of either in
+common. If all sets are put in one order, the first size - ceil(t * size) + 1 n-grams of
+both therefore hold a common one (pigeonhole). The order is by how often an n-gram occurs
+in the table, the rarest first, so documents are not brought together by a passage that
+many share as long as a small part of them is their own.
+
+Pairs found so are compared by sketches. Each set is dealt over parts by hash, and every
+n-gram flips one of the bits of its part. An n-gram in one set only flips one bit, so the
+Hamming distance of two sketches is at most the symmetric difference of their sets. Two
+sets of at most u n-grams with a similarity of t or more differ by no more than
+D = 2u(1-t)/(1+t); there are D + 1 parts, so that one at least is equal in both. Sketches
+are made for each band of sizes, whose upper end gives u.
 """
 
 from __future__ import annotations
@@ -16,6 +22,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +32,12 @@ from deskline.llm.hashing import WordHasher, mix, seeded, shingles
 
 # Sizes of a band lie between a power of this and the next one.
 _BAND_GROWTH = 1.5
-# Nodes of a shared part that one task compares with those of another such block.
+# Nodes of a shared n-gram that one task compares with those of another such block.
 _BLOCK = 512
+# N-grams that are counted together: those of a block of texts are sent to ranges of
+# hashes, and come back with their counts.
+_BLOCK_GRAMS = 1 << 20
+_RANGE_GRAMS = 1 << 22
 # Up to this many 64-bit keys are broadcast to fetch texts; more are joined by shuffle.
 _BROADCAST_KEYS = 500_000
 # Two nodes, the smaller one first, and a text of each.
@@ -38,8 +49,6 @@ class Scheme(NamedTuple):
 
     band: int
     parts: int
-    deals: int
-    min_weight: int
 
 
 def ngram_jaccard_join(
@@ -54,19 +63,14 @@ def ngram_jaccard_join(
     link when 100 * intersection >= ``percent`` * union. Rows without words link with
     nothing.
 
-    Equal sets are one node. The nodes that share a part are first compared with the
+    Equal sets are one node. How often each n-gram occurs is counted (see
+    :func:`_rarest`), and nodes that share one of their rarest are first compared with the
     smallest of them only, by their sketches; then nodes of different such groups are, in
     blocks, and a spanning forest of the pairs within the bound is taken. These pairs are
-    verified on whole texts. Where one is no link, all pairs of nodes in the components
-    at its ends that share a part are compared, and those within the bound verified. So a
-    group of linked copies is verified by pairs in proportion to its size, and no link
-    between components is lost. Near copies below the threshold share parts too: their
-    candidate pairs, compared by sketches only, can grow faster than the group.
-
-    Parts with very few n-grams are equal by chance in many documents and give no key;
-    instead, sets with few parts are dealt several times with other hashes (see
-    :func:`scheme`). A link is missed only if all its equal parts are such light ones in
-    every deal, for which the odds are below one in a million by estimate.
+    verified on whole texts. Where one is no link, the nodes that these pairs connect are
+    compared by their whole sets, in blocks, until they are one component or no two
+    components have a link. So pairs are in proportion to the size of a group, and no
+    link between components is lost.
 
     Null texts count as empty. Rows with the same id are one document, their texts link.
     A null id is a document of its own; its component has the smallest id in it, null if
@@ -81,49 +85,40 @@ def ngram_jaccard_join(
         ),
         "jaccard-sets",
     )
-    nodes = table_of(
-        keyed.select("text_key", "text")
-        .mapInArrow(lambda batches: _sketches(batches, words, percent), "node long, size long, text_key long, sketches array<struct<slot:int,bits:binary,heavy:binary,folded:binary>>")
-        .dropDuplicates(["node"]),
-        "jaccard-nodes",
-    )
-    keys = nodes.select("node", "size", "sketches").mapInArrow(lambda batches: _keys(batches, percent), "key long, node long, place long")
-    # Most parts are in one document. Of a part in two, the smallest and the largest node
-    # are all; only crowded ones have to be looked up again.
-    ends = [F.min("node").alias("low"), F.max("node").alias("high"), F.min("place").alias("place"), F.count(F.lit(1)).alias("n")]
+    keys = table_of(_rarest(sets, keyed, words, percent), "jaccard-keys")
+    # Of an n-gram in two nodes, the smallest and the largest node are all; only crowded
+    # ones have to be looked up again.
+    ends = [F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("n")]
     shared = table_of(keys.groupBy("key").agg(*ends).where("low != high"), "jaccard-shared")
     crowded = shared.where("n > 2").select("key", "low")
     if crowded.count() <= _BROADCAST_KEYS:
         crowded = F.broadcast(crowded)
-    both = shared.where("n = 2").select("key", F.explode(F.array("low", "high")).alias("node"), "place", "low")
-    members = table_of(both.unionByName(keys.join(crowded, "key")), "jaccard-members")
-    # Only nodes that share a part are looked at from here on, one row for each sketch.
-    touched = nodes.join(members.select("node").distinct(), "node", "left_semi")
+    both = shared.where("n = 2").select("key", F.explode(F.array("low", "high")).alias("node"), "low")
+    members = table_of(both.unionByName(keys.join(crowded, "key").distinct()), "jaccard-members")
+    # Only nodes that share such an n-gram are looked at from here on: a text of each, and
+    # one row for each of its sketches.
+    touched = sets.join(members.select("node").distinct(), "node", "left_semi")
+    wanted = touched.groupBy("node").agg(F.min("text_key").alias("text_key")).select("text_key")
+    texts = table_of(_texts_of(keyed, wanted), "jaccard-texts")
     known = table_of(
-        touched.select("node", "size", "text_key", F.explode("sketches").alias("sketch")).select(
-            "node", "size", "text_key", "sketch.slot", "sketch.folded"
-        ),
+        texts.mapInArrow(lambda batches: _sketches(batches, words, percent), "node long, size long, text_key long, slot int, folded binary"),
         "jaccard-known",
     )
 
-    # Pairs within the bound: each node with the smallest of its part, and what more it
-    # takes to join nodes across these groups, a forest in each part.
-    star = members.where("node != low").groupBy(F.col("low").alias("a"), F.col("node").alias("b")).agg(F.min(_slot()).alias("slot"))
+    # Pairs within the bound: each node with the smallest of its n-gram, and what more it
+    # takes to join nodes across these groups, a forest for each n-gram.
+    star = members.where("node != low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
     near = saved(_within_bound(star, known, percent))
     groups = near.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
-    pairs = saved(near.union(_across(members, groups, known, percent, least=3)))
-    links = saved(_verified(pairs, keyed, words, percent))
+    pairs = saved(near.union(_across(members, groups, known, percent, 3)))
+    links = saved(_verified(pairs, texts, words, percent))
     labels = saved(connected_components(links))
-    # A pair that is no link may have hidden one between the same components: compare all
-    # of their nodes.
-    wrong = saved(pairs.join(links, ["a", "b"], "left_anti"))
+    # A pair that is no link may have hidden one between the same groups: of each group of
+    # pairs that is more than one component, all nodes are compared by their sets.
     more = _same_id(sets)
-    if not wrong.isEmpty():
-        ends = wrong.select(F.col("a").alias("node")).union(wrong.select("b"))
-        doubtful = _labelled(ends, labels).select("component").distinct()
-        again = _labelled(members, labels).join(doubtful, "component", "left_semi").select(*members.columns)
-        others = _across(again, labels, known, percent, least=2, forest=False).join(wrong, ["a", "b"], "left_anti")
-        more = more.union(_verified(others, keyed, words, percent))
+    if not pairs.join(links, ["a", "b"], "left_anti").isEmpty():
+        clusters = connected_components(pairs).select(F.col("component").alias("key"), "node")
+        more = more.union(_across(clusters, labels, known, percent, 2, texts, words).select("a", "b"))
     more = saved(more)
     if not more.isEmpty():
         # Whole components are joined: the links between them are few.
@@ -199,28 +194,16 @@ def schemes(size: int, percent: int) -> list[Scheme]:
         upper = (starts[band + 1] - 1) * 100 // percent
         if upper < size:
             break
-        found.append(scheme(band, 2 * upper * (100 - percent) // (100 + percent) + 1))
+        found.append(Scheme(band, 2 * upper * (100 - percent) // (100 + percent) + 1))
     return found
 
 
-def scheme(band: int, parts: int) -> Scheme:
-    if parts == 1:
-        return Scheme(band, parts, 1, 1)
-    if parts < 16:
-        return Scheme(band, parts, 4, 1)
-    if parts < 64:
-        return Scheme(band, parts, 2, 2)
-    return Scheme(band, parts, 1, 3)
-
-
-def _sketch(found: np.ndarray, parts: int, deal: int) -> tuple[np.ndarray, np.ndarray]:
-    """The 64 parity bits and the number of n-grams of each part."""
-    dealt = mix(found ^ seeded(deal + 1, 41)[deal])
+def _sketch(found: np.ndarray, parts: int) -> np.ndarray:
+    """The parities of the n-grams of each part, 8 bits for a part."""
+    dealt = mix(found ^ seeded(1, 41)[0])
     part = ((dealt >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-    place = part * 64 + (dealt & np.uint64(63)).astype(np.int64)
-    flips = np.bincount(place, minlength=parts * 64) & 1
-    bits = np.packbits(flips.astype(np.uint8), bitorder="little").view(np.uint64)
-    return bits, np.bincount(part, minlength=parts)
+    flips = np.bincount(part * 8 + (dealt & np.uint64(7)).astype(np.int64), minlength=parts * 8) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little")
 
 
 def _node(found: np.ndarray) -> int:
@@ -244,69 +227,165 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """The sketches of every set that has words, one for each band and deal (the slot):
-    the parity bits of all parts, a bit for each part that gives a key, and the parity
-    bits folded to an eighth."""
+    """The sketches of every set that has words, a row for each band (the slot)."""
     hasher = WordHasher()
     for batch in batches:
         text_keys = batch.column("text_key").to_pylist()
-        out: list[list] = [[], [], [], []]
+        rows: list[tuple] = []
         for row, hashes, first in hasher.texts(batch.column("text")):
             for i in np.flatnonzero(np.diff(first)):
                 found = shingles(hashes[first[i] : first[i + 1]], words)
-                drawn = []
-                for plan in schemes(len(found), percent):
-                    for deal in range(plan.deals):
-                        bits, weights = _sketch(found, plan.parts, deal)
-                        heavy = np.packbits(weights >= plan.min_weight)
-                        # The same flips over eight bits a part: a sketch too, and small.
-                        folded = np.bitwise_xor.reduce(bits.view(np.uint8).reshape(-1, 8), axis=1)
-                        values = (plan.band * 8 + deal, bits.tobytes(), heavy.tobytes(), folded.tobytes())
-                        drawn.append(dict(zip(("slot", "bits", "heavy", "folded"), values)))
-                for column, value in zip(out, (_node(found), len(found), text_keys[row + i], drawn)):
-                    column.append(value)
-            if len(out[0]) >= 2000:
-                yield _sketch_batch(out)
-                out = [[], [], [], []]
-        yield _sketch_batch(out)
-
-
-def _sketch_batch(out: list[list]) -> pa.RecordBatch:
-    sketch = pa.struct([("slot", pa.int32()), *((name, pa.binary()) for name in ("bits", "heavy", "folded"))])
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(sketch))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(column, kind) for column, kind in zip(out, kinds)], ["node", "size", "text_key", "sketches"]
-    )
+                head = (_node(found), len(found), text_keys[row + i])
+                rows += [(*head, plan.band, _sketch(found, plan.parts).tobytes()) for plan in schemes(len(found), percent)]
+            if len(rows) >= 2000:
+                yield _sketch_batch(rows)
+                rows = []
+        yield _sketch_batch(rows)
 
 
-def _keys(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """A key for each part that is heavy enough: its bits, and its place (slot and
-    number)."""
-    for batch in batches:
-        keys, nodes, places, held = [], [], [], 0
-        for node, drawn in zip(batch.column("node").to_pylist(), batch.column("sketches").to_pylist()):
-            for sketch in drawn:
-                bits = np.frombuffer(sketch["bits"], np.uint64)
-                heavy = np.flatnonzero(np.unpackbits(np.frombuffer(sketch["heavy"], np.uint8), count=len(bits)))
-                place = heavy + (sketch["slot"] << 32)
-                keys.append(mix(bits[heavy] ^ mix(place.astype(np.uint64) + np.uint64(1))).view(np.int64))
-                nodes.append(np.full(len(heavy), node, np.int64))
-                places.append(place)
-                held += len(heavy)
-            if held >= 200_000:
-                yield _key_batch(keys, nodes, places)
-                keys, nodes, places, held = [], [], [], 0
-        if keys:
-            yield _key_batch(keys, nodes, places)
+def _sketch_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+    return pa.RecordBatch.from_arrays(columns, ["node", "size", "text_key", "slot", "folded"])
 
 
-def _key_batch(keys: list, nodes: list, places: list) -> pa.RecordBatch:
-    columns = [pa.array(np.concatenate(c)) for c in (keys, nodes, places)]
-    return pa.RecordBatch.from_arrays(columns, ["key", "node", "place"])
+# -- the rarest n-grams ----------------------------------------------------------
 
 
-def _slot() -> Column:
-    return F.shiftright("place", 32).cast("int")
+def _rarest(sets: DataFrame, keyed: DataFrame, words: int, percent: int) -> DataFrame:
+    """``key`` and ``node`` for the first n-grams of every set, in the order of how often
+    they occur in the table, as far as they occur more than once.
+
+    The n-grams of a block of texts are sent to ranges of their hashes, four bytes for
+    the place in a range and two for the text. A range counts them; those that occur more
+    than once go back to their block with their count, where the first ones of each text
+    are taken. Neighbouring hashes may be counted as one, which can only add candidates.
+    """
+    total = sets.agg(F.sum("n_shingles")).first()[0] or 0
+    partitions = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(max(min(4 * partitions, 1 << 12), -(-total // _RANGE_GRAMS)), 1 << 16)
+    schema = "block long, place int, grams binary, texts binary, counts binary"
+    sent = _once(sets, keyed.select("text_key", "text")).select("text").mapInArrow(lambda batches: _blocks(batches, words, ranges), schema)
+    counted = sent.repartition("place").sortWithinPartitions("place").mapInArrow(_counted, schema)
+    back = counted.repartition("block").sortWithinPartitions("block")
+    return back.mapInArrow(lambda batches: _first(batches, percent), "key long, node long")
+
+
+def _once(sets: DataFrame, keyed: DataFrame) -> DataFrame:
+    """Every text once. Only texts that have copies are shuffled."""
+    copied = saved(sets.groupBy("text_key").count().where("count > 1").select("text_key"))
+    copies = copied.count()
+    if not copies:
+        return keyed
+    if copies <= _BROADCAST_KEYS:
+        copied = F.broadcast(copied)
+    one = saved(keyed.join(copied, "text_key", "left_semi").dropDuplicates(["text_key"]))
+    return keyed.join(copied, "text_key", "left_anti").unionByName(one)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], words: int, ranges: int) -> Iterator[pa.RecordBatch]:
+    """For each block of texts, a row for each range that has n-grams of it, and one
+    (with a negative place) that lists its sets, their sizes and the number of rows.
+    Blocks are named by their sets, so a task that runs again names them the same."""
+    hasher = WordHasher()
+    task = TaskContext.get().partitionId()
+    held, size, number = [], 0, 0
+    for batch in batches:
+        for _, hashes, first in hasher.texts(batch.column("text")):
+            for i in np.flatnonzero(np.diff(first)):
+                held.append(shingles(hashes[first[i] : first[i + 1]], words))
+                size += len(held[-1])
+                if size >= _BLOCK_GRAMS or len(held) == 1 << 16:
+                    yield _block(held, ranges, task, number)
+                    held, size, number = [], 0, number + 1
+    if held:
+        yield _block(held, ranges, task, number)
+
+
+def _block(held: list[np.ndarray], ranges: int, task: int, number: int) -> pa.RecordBatch:
+    nodes = np.array([_node(found) for found in held], np.int64)
+    sizes = np.array([len(found) for found in held], np.int64)
+    # The upper 48 bits of a hash tell its range and its place there.
+    spread = (np.concatenate(held) >> np.uint64(16)) * np.uint64(ranges)
+    order = np.argsort(spread)
+    spread, texts = spread[order], np.repeat(np.arange(len(held), dtype=np.uint16), sizes)[order]
+    place = (spread >> np.uint64(48)).astype(np.int32)
+    grams = (spread >> np.uint64(16)).astype(np.uint32)
+    starts = np.flatnonzero(np.diff(place, prepend=-1))
+    ends = [*starts[1:], len(place)]
+    seed = np.array([task, number], np.uint64)
+    block = int(mix(mix(mix(nodes.view(np.uint64)) + np.arange(len(nodes), dtype=np.uint64)).sum(keepdims=True) + mix(mix(seed[:1]) + seed[1:])).view(np.int64)[0])
+    rows = [(block, int(place[s]), grams[s:e].tobytes(), texts[s:e].tobytes(), None) for s, e in zip(starts, ends)]
+    # Spread over tasks as well; any place below zero will do.
+    listed = -1 - (block & 0xFFFFF)
+    return _place_batch([*rows, (block, listed, nodes.tobytes(), sizes.tobytes(), np.int64(len(rows)).tobytes())])
+
+
+def _place_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+    return pa.RecordBatch.from_arrays(columns, ["block", "place", "grams", "texts", "counts"])
+
+
+def _runs(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[list[tuple]]:
+    """Rows that follow each other with the same value of ``by``."""
+    held: list[tuple] = []
+    for batch in batches:
+        at = batch.schema.get_field_index(by)
+        for row in zip(*(column.to_pylist() for column in batch.columns)):
+            if held and row[at] != held[0][at]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the n-grams of each range those that occur more than once, with a rank by how
+    often: four steps for each doubling. A row for each one received, so that the block
+    can tell that all came back."""
+    for rows in _runs(batches, "place"):
+        if rows[0][1] < 0:
+            yield _place_batch(rows)
+            continue
+        grams = [np.frombuffer(row[2], np.uint32) for row in rows]
+        every = np.concatenate(grams)
+        _, which, often = np.unique(every, return_inverse=True, return_counts=True)
+        rank = np.ceil(4 * np.log2(often)).clip(0, 255).astype(np.uint8)[which]
+        found, start = [], 0
+        for (block, place, _, texts, _), own in zip(rows, grams):
+            ranks = rank[start : start + len(own)]
+            start += len(own)
+            again = ranks > 0
+            found.append((block, place, own[again].tobytes(), np.frombuffer(texts, np.uint16)[again].tobytes(), ranks[again].tobytes()))
+        yield _place_batch(found)
+
+
+def _first(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The first n-grams of the sets of each block. Those that did not come back occur
+    once and are the first in any order, but no other set has them."""
+    for rows in _runs(batches, "block"):
+        listed = [row for row in rows if row[1] < 0]
+        if len(listed) != 1 or np.frombuffer(listed[0][4], np.int64)[0] != len(rows) - 1:
+            raise RuntimeError("n-grams of a block were lost: its input changed while it was counted")
+        nodes, sizes = (np.frombuffer(column, np.int64) for column in listed[0][2:4])
+        rows = [row for row in rows if row[1] >= 0 and row[2]]
+        if not rows:
+            continue
+        grams, texts, ranks = (
+            np.concatenate([np.frombuffer(row[i], kind) for row in rows]) for i, kind in ((2, np.uint32), (3, np.uint16), (4, np.uint8))
+        )
+        place = np.repeat(np.array([row[1] for row in rows], np.uint64), [len(row[4]) for row in rows])
+        key = (place << np.uint64(32)) | grams
+        order = np.lexsort((key, ranks, texts))
+        key, texts = key[order], texts[order]
+        back = np.bincount(texts, minlength=len(nodes))
+        # size - ceil(t * size) + 1 in all.
+        taken = sizes * (100 - percent) // 100 + 1 - (sizes - back)
+        rank = np.arange(len(texts)) - np.repeat(np.cumsum(back) - back, back)
+        kept = rank < taken[texts]
+        yield pa.RecordBatch.from_arrays([pa.array(mix(key[kept]).view(np.int64)), pa.array(nodes[texts[kept]])], ["key", "node"])
 
 
 # -- comparing -----------------------------------------------------------------
@@ -329,9 +408,9 @@ def _within_bound(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame
                     kept.append((a, b, key_a, key_b))
             yield _pair_batch(kept)
 
-    sketched = pairs.join(side("a"), ["a", "slot"]).join(side("b"), ["b", "slot"])
+    sketched = pairs.join(side("a"), "a").join(side("b"), ["b", "slot"])
     columns = ["a", "b", "text_key_a", "text_key_b", "size_a", "size_b", "folded_a", "folded_b"]
-    return sketched.select(*columns).mapInArrow(near, _PAIRS)
+    return sketched.select(*columns).mapInArrow(near, _PAIRS).distinct()
 
 
 def _pair_batch(pairs: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
@@ -347,97 +426,111 @@ def _labelled(nodes: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _across(
-    members: DataFrame, labels: DataFrame, known: DataFrame, percent: int, least: int, forest: bool = True
+    members: DataFrame, labels: DataFrame, known: DataFrame, percent: int, least: int, texts: DataFrame | None = None, words: int = 0
 ) -> DataFrame:
-    """Pairs of nodes that share a part, lie in different components and are within the
-    bound: all, or a spanning ``forest`` of them for each part. Parts of ``least`` nodes
-    and more are looked at, as the two nodes of a part without others were compared
-    before. A part's nodes are cut into blocks, and a task compares two of them."""
+    """A spanning forest, for each key, of the pairs of nodes that share the key, lie in
+    different components and are within the bound or, with ``texts``, link by the exact
+    size of their intersection. Keys of ``least`` nodes and more are looked at. A task
+    compares two blocks of the nodes of a key. Those of its largest component are in
+    blocks of their own, which are not compared with each other."""
     labelled = _labelled(members, labels)
+    weight = F.lit(1.0)
+    if texts is not None:
+        # Whole sets are held: blocks of long ones have fewer.
+        labelled = labelled.join(known.groupBy("node").agg(F.max("size").alias("held")), "node")
+        weight = F.greatest(weight, F.col("held") * _BLOCK / F.lit(_BLOCK_GRAMS))
+    counts = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), F.sum(weight).alias("weight"))
+    blocks = lambda n: F.ceil(n / _BLOCK).cast("int")
     crowded = (
-        labelled.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("c0"), F.max("component").alias("c1"))
-        .where(f"n >= {least} and c0 != c1")
-        .select("key", F.ceil(F.col("n") / _BLOCK).cast("int").alias("blocks"))
+        counts.groupBy("key")
+        .agg(F.sum("n").alias("n"), F.sum("weight").alias("weight"), F.max(F.struct("weight", "component")).alias("most"), F.count(F.lit(1)).alias("components"))
+        .where(f"n >= {least} and components > 1")
+        .select("key", F.col("most.component").alias("largest"), blocks(F.col("most.weight")).alias("inner"), blocks(F.col("weight") - F.col("most.weight")).alias("outer"))
     )
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    # Blocks of the largest component have numbers below zero.
+    own = F.expr("cast(if(component = largest, -1 - pmod(xxhash64(node), inner), pmod(xxhash64(node), outer)) as int)")
+    other = F.expr("explode(if(component = largest, sequence(0, outer - 1), sequence(-inner, outer - 1)))")
     placed = labelled.join(crowded, "key").withColumn("own", own).withColumn("other", other)
     tasks = placed.select(
-        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("task"),
+        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("pair"),
         (F.col("own") <= F.col("other")).alias("left"),
         (F.col("own") >= F.col("other")).alias("right"),
         "node",
         "component",
-        _slot().alias("slot"),
     )
-    tasks = tasks.join(known, ["node", "slot"]).select(
-        "task", "left", "right", "node", "text_key", "component", "size", "folded"
+    tasks = tasks.join(known, "node").select(
+        F.xxhash64("pair", "slot").alias("task"), "left", "right", "node", "text_key", "component", "size", "folded"
     )
 
+    if texts is not None:
+        tasks = tasks.join(texts, "text_key")
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        for batch in batches:
-            for row in zip(*(column.to_pylist() for column in batch.columns)):
-                if held and row[0] != held[0][0]:
-                    yield _pair_batch(_compare_blocks(held, percent, forest))
-                    held = []
-                held.append(row)
-        if held:
-            yield _pair_batch(_compare_blocks(held, percent, forest))
+        for rows in _runs(batches, "task"):
+            yield _pair_batch(_compare_blocks(rows, percent, words))
 
-    return tasks.repartition("task").sortWithinPartitions("task").mapInArrow(compare, _PAIRS).distinct()
+    order = ["task", "left", "right", "node", "text_key", "component", "size", "folded", *(["text"] if texts is not None else [])]
+    return tasks.select(*order).repartition("task").sortWithinPartitions("task").mapInArrow(compare, _PAIRS).distinct()
 
 
-def _compare_blocks(rows: list[tuple], percent: int, forest: bool) -> list[tuple[int, int, int, int]]:
-    _, left, right, node, text_key, component, size, folded = (list(c) for c in zip(*rows))
+def _compare_blocks(rows: list[tuple], percent: int, words: int) -> list[tuple[int, int, int, int]]:
+    _, left, right, node, text_key, component, size, folded, *text = (list(c) for c in zip(*rows))
+    sets = _sets_of(pa.array(text[0], pa.large_string()), words) if text else []
     bits = np.array([np.frombuffer(f, np.uint8) for f in folded])
     names, component = np.unique(component, return_inverse=True)
     size, others = np.array(size), np.flatnonzero(right)
     root = np.arange(len(names))
-    pairs = set()
+    pairs = []
     for i in np.flatnonzero(left):
         wanted = others[root[component[others]] != root[component[i]]]
         if not len(wanted):
             continue
         differ = np.bitwise_count(bits[wanted] ^ bits[i]).sum(axis=1, dtype=np.int64)
         near = differ * (100 + percent) <= (size[wanted] + size[i]) * (100 - percent)
-        for j in wanted[near]:
-            if forest:
-                a, b = root[component[i]], root[component[j]]
-                if a == b:
-                    continue
-                root[root == b] = a
+        # The most alike first: they link most likely, and then no other has to be compared.
+        for j in wanted[near][np.argsort(differ[near], kind="stable")]:
+            a, b = root[component[i]], root[component[j]]
+            if a == b or (text and not _linked(sets[i], sets[j], percent)):
+                continue
+            root[root == b] = a
             first, second = (i, j) if node[i] < node[j] else (j, i)
-            pairs.add((node[first], node[second], text_key[first], text_key[second]))
-    return sorted(pairs)
+            pairs.append((node[first], node[second], text_key[first], text_key[second]))
+    return pairs
 
 
-def _verified(pairs: DataFrame, keyed: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs that link by the exact size of their intersection."""
-    pairs = saved(pairs)
-    wanted = saved(pairs.select(F.col("key_a").alias("text_key")).union(pairs.select("key_b")).distinct())
+def _sets_of(column: pa.Array, words: int) -> list[np.ndarray]:
+    found = []
+    for _, hashes, first in WordHasher().texts(column):
+        found += [shingles(hashes[s:e], words) for s, e in zip(first[:-1], first[1:])]
+    return found
+
+
+def _linked(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(left), len(right)) < percent * max(len(left), len(right)):
+        return False
+    both = np.count_nonzero(right[np.searchsorted(right, left).clip(max=len(right) - 1)] == left)
+    return 100 * both >= percent * (len(left) + len(right) - both)
+
+
+def _texts_of(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``text_key`` and ``text`` of the wanted keys."""
+    wanted = saved(wanted)
     if wanted.count() <= _BROADCAST_KEYS:
         wanted = F.broadcast(wanted)
-    texts = saved(keyed.select("text_key", "text").join(wanted, "text_key", "left_semi").dropDuplicates(["text_key"]))
+    return keyed.select("text_key", "text").join(wanted, "text_key", "left_semi").dropDuplicates(["text_key"])
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs that link by the exact size of their intersection."""
     both = pairs.join(texts.select(F.col("text_key").alias("key_a"), F.col("text").alias("text_a")), "key_a").join(
         texts.select(F.col("text_key").alias("key_b"), F.col("text").alias("text_b")), "key_b"
     )
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
         for batch in batches:
-            sides = []
-            for name in ("text_a", "text_b"):
-                found = []
-                for _, hashes, first in hasher.texts(batch.column(name)):
-                    found += [shingles(hashes[s:e], words) for s, e in zip(first[:-1], first[1:])]
-                sides.append(found)
-            kept = []
-            for a, b, left, right in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), *sides):
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                if 100 * both >= percent * (len(left) + len(right) - both):
-                    kept.append((a, b))
+            sides = (_sets_of(batch.column(name), words) for name in ("text_a", "text_b"))
+            ends = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), *sides)
+            kept = [(a, b) for a, b, left, right in ends if _linked(left, right, percent)]
             yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in kept], pa.int64()) for i in (0, 1)], ["a", "b"])
 
     return both.select("a", "b", "text_a", "text_b").mapInArrow(exact, "a long, b long")

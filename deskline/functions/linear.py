@@ -1,0 +1,104 @@
+"""The email cleaner's steps on whole batches of texts, by RE2.
+
+Java's matcher takes longer for a character than RE2 does, and an email goes through
+some twenty patterns. RE2 has no lookarounds and does not know how Python folds four
+letters: a batch gives null for every text of which it is not sure, and the caller puts
+those through the steps in Java. The function is nested so that it is shipped by value:
+executors need pyarrow but not this package.
+"""
+
+from __future__ import annotations
+
+import pyarrow as pa
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from deskline.functions import patterns as p
+
+
+def clean_udf(
+    strip_html: bool,
+    normalize_unicode: bool,
+    forwards: int,
+    reply_headers: bool,
+    email_headers: bool,
+    disclaimers: bool,
+    signatures: bool,
+    urls: bool,
+    whitespace: bool,
+):
+    """A UDF for raw emails: every step up to the masking of URLs, and the collapsing of
+    white space if that is next. ``forwards`` is the number of blocks to remove. Null for
+    null and for texts that it leaves to the caller."""
+    patterns, url_mask, stripped = p.LINEAR, p.URL_MASK, p.WHITESPACE
+
+    def clean(texts: pa.Array) -> pa.Array:
+        import html
+        import unicodedata
+
+        import pyarrow
+        import pyarrow.compute as pc
+
+        def holds(t, name):
+            return pc.match_substring_regex(t, patterns[name])
+
+        def replaced(t, name, by="", count=None):
+            return pc.replace_substring_regex(t, patterns[name], by, max_replacements=count)
+
+        def where(mask, t, step):
+            """``step`` on the texts of the mask alone."""
+            hits = mask.true_count
+            if hits == 0:
+                return t
+            if hits == len(t):
+                return step(t)
+            return pc.replace_with_mask(t, mask, step(t.filter(mask)))
+
+        def each(function):
+            return lambda t: pyarrow.array([function(x) for x in t.to_pylist()], t.type)
+
+        def contains(t, needle):
+            return pc.match_substring(t, needle)
+
+        left = texts.is_null()
+        t = pc.fill_null(texts, "")
+        t = where(pc.invert(holds(t, "has_text")), t, lambda t: pyarrow.array([""] * len(t), t.type))
+        if strip_html:
+            t = where(contains(t, "&"), t, each(html.unescape))
+            t = where(contains(t, ">"), t, lambda t: replaced(t, "tag", " "))
+            reference = contains(t, "&")
+            left = pc.or_(left, holds(t, "odd_entity")) if reference.true_count else left
+            t = where(reference, t, lambda t: replaced(t, "entity", " "))
+        t = pc.replace_substring(t, "\r\n", "\n")
+        if normalize_unicode:
+            t = where(holds(t, "maybe_not_nfc"), t, lambda t: each(lambda x: unicodedata.normalize("NFC", x))(replaced(t, "zero_width")))
+        left = pc.or_(left, holds(t, "odd_folds"))
+        t = where(contains(t, "["), t, lambda t: replaced(t, "placeholder"))
+        t = replaced(t, "auto_reply")
+        for _ in range(forwards):
+            t = where(contains(t, "---"), t, lambda t: replaced(t, "forward", r"\1", 1))
+        if reply_headers:
+            t = where(holds(t, "reply_words"), t, lambda t: replaced(t, "reply_header"))
+        if email_headers:
+            t = replaced(t, "header_line")
+        t = where(contains(t, ">"), t, lambda t: replaced(t, "quoted"))
+        if disclaimers:
+            t = where(holds(t, "disclaimer_words"), t, lambda t: replaced(t, "from_disclaimer"))
+        if signatures:
+            left = pc.or_(left, holds(t, "odd_closing"))
+            marked = where(pc.or_(contains(t, "--"), contains(t, "___")), t, lambda t: replaced(t, "from_mark"))
+            unmarked = pc.equal(pc.binary_length(marked), pc.binary_length(t))
+            t = where(unmarked, marked, lambda t: replaced(t, "from_closing"))
+        if urls:
+            t = replaced(t, "url", url_mask)
+        if whitespace:
+            t = replaced(replaced(t, "newlines", "\n\n"), "spaces", " ")
+            t = pc.utf8_trim(t, characters=stripped)
+        return pc.if_else(left, pyarrow.scalar(None, t.type), t)
+
+    return F.arrow_udf(clean, "string")
+
+
+def valid(raw: Column) -> Column:
+    """``raw``, or null where its bytes are no text."""
+    return F.when(F.is_valid_utf8(raw), raw)

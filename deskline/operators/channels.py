@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from deskline.functions.text import normalize_newlines
 from deskline.operators.chat import chat_body
 from deskline.operators.cleaning import Projection, input_text, normalize, unless_blank
-from deskline.operators.email import EmailConfig, decoded_email, email_body
+from deskline.operators.email import EmailConfig, decoded_email, email_body, email_in_batches, stripped_email
 from deskline.operators.transcript import transcript_body
 
 EMAIL, TRANSCRIPT, CHAT = "email", "transcript", "chat"
@@ -35,7 +35,8 @@ def clean_interactions(
     channel = F.col(f"`{channel_col}`")
     raw = input_text(df, in_col)
     is_email = channel == EMAIL
-    email = decoded_email(F.when(is_email, raw), config)
+    quick = frame.bind(email_in_batches(F.when(is_email, raw), config))
+    email = decoded_email(F.when(is_email & quick.isNull(), raw), config)
     if config.normalize_unicode:
         text = normalize(frame, F.when(is_email, email).otherwise(unless_blank(raw, raw)))
     else:
@@ -43,7 +44,7 @@ def clean_interactions(
         text = F.when(is_email, normalize_newlines(email)).otherwise(dialogue)
     text = frame.bind(text)
     cleaned = (
-        F.when(is_email, email_body(text, config))
+        F.when(is_email, email_body(stripped_email(quick, text, config), config))
         .when(channel == TRANSCRIPT, transcript_body(text, customer_only))
         .when(channel == CHAT, chat_body(text, customer_only))
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskline.functions import patterns as p
+from deskline.functions.linear import clean_udf, valid
 from deskline.functions.text import (
     collapse_whitespace,
     cut_from,
@@ -24,6 +25,8 @@ from deskline.functions.text import (
 from deskline.functions.unicode import unescape_html
 from deskline.operators.cleaning import Projection, input_text, normalize, unless_blank
 
+# More forwarded blocks than this are looked for in Java, in a loop.
+_FORWARDS_IN_BATCHES = 4
 # Any case, Unicode classes, and \n as the only line end.
 _EXTRA_FLAGS = "(?iUd)"
 
@@ -127,10 +130,8 @@ def strip_signature(text: Column) -> Column:
 
 
 def mask_identifiers(text: Column, config: EmailConfig) -> Column:
-    """URLs, addresses, phone numbers and freight ids, in this order: a number that
-    reads as a phone number is never masked as a waybill."""
-    if config.strip_urls:
-        text = replace_all(text, p.URL, p.URL_MASK)
+    """Addresses, phone numbers and freight ids, in this order: a number that reads as a
+    phone number is never masked as a waybill."""
     if config.strip_emails:
         text = when_contains(text, "@", lambda t: replace_all(t, p.EMAIL_ADDRESS, "$1" + p.EMAIL_MASK))
     if config.strip_phone_numbers or config.strip_ids:
@@ -155,17 +156,55 @@ def decoded_email(raw: Column, config: EmailConfig) -> Column:
     return strip_tags(unless_blank(raw, unescape_html(raw)))
 
 
-def email_body(text: Column, config: EmailConfig) -> Column:
-    """The steps after the normalization of characters."""
+def strip_parts(text: Column, config: EmailConfig) -> Column:
+    """The steps after the normalization of characters, up to the masking of URLs."""
     text = strip_chain(text, config)
     if config.strip_disclaimers:
         text = strip_disclaimer(text)
     if config.strip_signatures:
         text = strip_signature(text)
+    return replace_all(text, p.URL, p.URL_MASK) if config.strip_urls else text
+
+
+def _tidy_early(config: EmailConfig) -> bool:
+    """Whether white space is collapsed right after the masking of URLs."""
+    masks = config.strip_emails or config.strip_phone_numbers or config.strip_ids or config.extra_removal_patterns
+    return config.normalize_whitespace and not masks
+
+
+def email_in_batches(raw: Column, config: EmailConfig) -> Column:
+    """What :func:`email_body` takes: the same steps as in :func:`decoded_email`,
+    :func:`strip_parts` and the normalization between them, on batches of texts. Null for
+    texts that have to go through those."""
+    forwards = config.max_chain_depth if config.strip_forwarded_headers else 0
+    if config.strip_forwarded_headers and not 0 < forwards <= _FORWARDS_IN_BATCHES:
+        return F.lit(None).cast("string")
+    run = clean_udf(
+        config.strip_html,
+        config.normalize_unicode,
+        forwards,
+        config.strip_reply_headers,
+        config.strip_email_headers,
+        config.strip_disclaimers,
+        config.strip_signatures,
+        config.strip_urls,
+        _tidy_early(config),
+    )
+    return run(valid(raw))
+
+
+def stripped_email(quick: Column, text: Column, config: EmailConfig) -> Column:
+    """``quick`` or, where that is null, the steps on ``text``."""
+    slow = strip_parts(text, config)
+    return F.coalesce(quick, collapse_whitespace(slow) if _tidy_early(config) else slow)
+
+
+def email_body(text: Column, config: EmailConfig) -> Column:
+    """The steps after the masking of URLs."""
     text = mask_identifiers(text, config)
     for pattern in config.extra_removal_patterns:
         text = replace_all(text, _EXTRA_FLAGS + pattern)
-    if config.normalize_whitespace:
+    if config.normalize_whitespace and not _tidy_early(config):
         text = collapse_whitespace(text)
     if config.lowercase:
         text = F.lower(text)
@@ -184,6 +223,8 @@ def clean_emails(
     config = config or EmailConfig()
     config.check_patterns(df.sparkSession)
     frame = Projection(df)
-    text = decoded_email(input_text(df, in_col), config)
+    raw = input_text(df, in_col)
+    quick = frame.bind(email_in_batches(raw, config))
+    text = decoded_email(F.when(quick.isNull(), raw), config)
     text = normalize(frame, text) if config.normalize_unicode else normalize_newlines(text)
-    return frame.result(out_col, email_body(text, config))
+    return frame.result(out_col, email_body(stripped_email(quick, text, config), config))

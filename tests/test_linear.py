@@ -1,0 +1,57 @@
+"""The email steps on batches of texts, by RE2, against those in Java."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import test_cleaners
+import test_dialect
+from deskline import EmailConfig, clean_emails, clean_interactions
+from deskline.operators import channels, email
+
+ODD = ["&#305;", "&eacute;", "&é;", "&²;", "&_1;", "ſ", "İ", "K", "©", "́", "​", "\r\n", "\nThanks", " and\n", "regards\n"]
+POOLS = [
+    test_cleaners.PIECES,
+    test_dialect.HEADS + test_dialect.BLOCKS,
+    test_dialect.ENDS + ODD,
+    test_dialect.BRACKETS + test_dialect.TAGS + ODD,
+    ["http://", "HTTPS://", "www.", "x", "/"] + test_dialect.SPACE + ODD,
+]
+CONFIGS = {
+    "default": EmailConfig(),
+    "strict": EmailConfig.strict(),
+    "plain": EmailConfig(strip_html=False, strip_signatures=False, strip_urls=False, normalize_unicode=False, normalize_whitespace=False),
+    "extra": EmailConfig(max_chain_depth=1, strip_disclaimers=False, lowercase=True, extra_removal_patterns=("x+",)),
+}
+
+
+def texts(spark):
+    rng = random.Random(8)
+    made = ["".join(rng.choices(pool, k=rng.randint(0, 30))) for pool in POOLS for _ in range(1200)]
+    made += [None, "", " \n", "　", "a\x00b", "Thanks\n> x\nand regards\n", "x\nThanks\nand regards\n"]
+    broken = F.expr("cast(unhex('46726F6D3A2061FF0A') as string)")
+    df = spark.createDataFrame(list(enumerate(made)), "i int, t string")
+    return df.union(spark.range(1).select(F.lit(-1).alias("i"), broken.alias("t")))
+
+
+@pytest.mark.parametrize("name", CONFIGS)
+def test_batches_give_what_the_steps_in_java_give(spark, name, monkeypatch):
+    df, config = texts(spark), CONFIGS[name]
+    batches = clean_emails(df, "t", config=config).select("i", "clean_text").collect()
+    mixed = clean_interactions(df.withColumn("channel", F.lit("email")), in_col="t", email_config=config).select("i", "clean_text").collect()
+    for module in (email, channels):
+        monkeypatch.setattr(module, "email_in_batches", lambda raw, config: F.lit(None).cast("string"))
+    java = clean_emails(df, "t", config=config).select("i", "clean_text").collect()
+    assert len(java) > 6000
+    assert sorted(map(tuple, batches)) == sorted(map(tuple, mixed)) == sorted(map(tuple, java))
+
+
+def test_ordinary_emails_leave_nothing_to_java(spark):
+    plain = "From: a@b.example\r\n\r\nHi, café <b>car</b> &copy; late\n--- Forwarded message ---\nold\n\n> q\nThanks,\nBo\n"
+    left = ["İstanbul", "&#305;", "Thanks\nand regards\n", None]
+    df = spark.createDataFrame([(t,) for t in [plain, "", " ", *left]], "t string")
+    found = [r.q for r in df.select(email.email_in_batches(F.col("t"), EmailConfig()).alias("q")).collect()]
+    assert found == ["Hi, café car © late", "", "", None, None, None, None]
+    unlimited = df.select(email.email_in_batches(F.col("t"), EmailConfig(max_chain_depth=0)).alias("q"))
+    assert {r.q for r in unlimited.collect()} == {None}

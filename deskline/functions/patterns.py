@@ -18,7 +18,6 @@ length and not with its square, whatever the text holds:
   last match (``\\G``), and take what they skip as group 1, to be put back.
 """
 
-import re
 import string
 
 # A character above U+FFFF inside a lookbehind makes Java step back by code point.
@@ -60,7 +59,7 @@ def _at_word(start: str) -> str:
 
 
 # Letters that fold with others than their two ASCII forms.
-_FOLDS = {"i": "Ii\u0130\u0131", "k": "Kk\u212a", "s": "Ss\u017f"}
+_FOLDS = {"i": r"Ii\u0130\u0131", "k": r"Kk\u212a", "s": r"Ss\u017f"}
 
 
 def _letter(letter: str) -> str:
@@ -81,26 +80,6 @@ def _one_of(letters: str) -> str:
     return "(?-i:(?=[" + "".join(_FOLDS.get(c, c.upper() + c) for c in letters) + "]))"
 
 
-def linear(pattern: str) -> str:
-    """A Java pattern of this module without lookarounds, in the dialect of RE2, which
-    walks over a text once whatever it holds. What a possessive quantifier keeps here, a
-    greedy one would keep too. Whitespace is spelled out; letters fold by Unicode's simple
-    rules, so texts with one of ``ODD_FOLDS`` are not for it."""
-    flags, rest = re.fullmatch(r"\(\?(\w+)\)(.*)", pattern, re.DOTALL).groups()
-    for spelled, chars in ((B, WHITESPACE.replace("\n", "")), (S, WHITESPACE)):
-        rest = rest.replace(spelled, _listed(chars))
-    rest = re.sub(r"(?<=[+*?}])\+", "", rest.replace(N, _listed(WHITESPACE, "^")))
-    kept = flags.replace("U", "").replace("d", "")
-    return f"(?{kept}:{rest})"
-
-
-def _listed(chars: str, sign: str = "") -> str:
-    return "[" + sign + "".join(rf"\x{{{ord(c):x}}}" for c in chars) + "]"
-
-
-# Letters that fold with ASCII ones here, whatever an engine thinks of them.
-ODD_FOLDS = r"[\x{130}\x{131}\x{17f}\x{212a}]"
-
 # ---------------------------------------------------------------------------
 # All channels
 # ---------------------------------------------------------------------------
@@ -117,8 +96,7 @@ def more_words_than(limit: int) -> str:
 ZERO_WIDTH = r"[\u200b-\u200d\ufeff]++"
 NEWLINES = r"\n{3,}+"
 SPACES = r"[ \t]{2,}+"
-_URL = rf"(?:{_letter('h')}ttps?://|{_letter('w')}ww\.){N}++"
-URL = ANYCASE + _one_of("hw") + _URL
+URL = ANYCASE + rf"{_one_of('hw')}(?:{_letter('h')}ttps?://|{_letter('w')}ww\.){N}++"
 
 # Text that normalization form C may change: anything from U+0300 on but some
 # common blocks it leaves alone (checked in the tests). Kept to a few ranges: a
@@ -174,8 +152,9 @@ HEADER_LINE = ANYCASE_LINES + (
 )
 QUOTED_LINE = TEXT + _at_line(">") + r"[^\n]*+"
 
-_DISCLAIMER = (
-    "(?:"
+FROM_DISCLAIMER = ANYCASE + (
+    _one_of("cdlti")
+    + "(?:"
     + _words(
         "CONFIDENTIALITY NOTICE",
         "DISCLAIMER",
@@ -187,7 +166,6 @@ _DISCLAIMER = (
     )
     + r")[\s\S]*+"
 )
-FROM_DISCLAIMER = ANYCASE + _one_of("cdlti") + _DISCLAIMER
 
 # No disclaimer phrase goes without one of these.
 DISCLAIMER_WORDS = (
@@ -218,36 +196,6 @@ FROM_CLOSING = ANYCASE + (
     + rf")[,.]?+{B}*+\n[\s\S]*+"
 )
 
-# What the email cleaner removes, for RE2. Cuts take the whitespace before them along.
-_BEFORE = S + "*+"
-LINEAR = {
-    "has_text": linear(HAS_TEXT),
-    "tag": r"<[^>]+>",
-    "entity": r"&#?[0-9A-Za-z_]+;",
-    # References that other letters or digits may belong to.
-    "odd_entity": r"&#?[0-9A-Za-z_]*[^\x00-\x7f]",
-    "odd_folds": ODD_FOLDS,
-    "zero_width": r"[\x{200b}-\x{200d}\x{feff}]+",
-    "maybe_not_nfc": r"[^\x00-\x{2ff}]",
-    "placeholder": linear(ANYCASE + _PLACEHOLDER + r"\]"),
-    "auto_reply": linear(AUTO_REPLY),
-    # Group 1 is what ends the block.
-    "forward": linear("(?isUd)" + _FORWARD_HEAD + r".*?(\n\n|---|\z)"),
-    "reply_header": linear(REPLY_HEADER),
-    "reply_words": "(?i)wrote|said",
-    "header_line": linear(HEADER_LINE),
-    "quoted": linear(LINES + rf"^{S}*+>[^\n]*+"),
-    "disclaimer_words": "(?i)" + "|".join(DISCLAIMER_WORDS),
-    "from_disclaimer": linear(ANYCASE + _BEFORE + _DISCLAIMER),
-    "from_mark": linear(LINES + _BEFORE + FROM_SIGNATURE_MARK.removeprefix(LINES)),
-    # "Thanks" on a line of its own is no closing where these words follow.
-    "odd_closing": linear(ANYCASE + f"Thanks{S}*+\\n{S}*+and{S}++regards"),
-    "from_closing": linear(ANYCASE + _BEFORE + FROM_CLOSING.removeprefix(ANYCASE)),
-    "url": linear(ANYCASE + _URL),
-    "newlines": r"\n{3,}",
-    "spaces": r"[ \t]{2,}",
-}
-
 # Spelled out, since a class of ranges is a chain of tests in Java.
 _LOCAL_CHARS = string.ascii_letters + string.digits + r"._%+\-"
 _LOCAL = f"[{_LOCAL_CHARS}]"
